@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,30 +17,40 @@ def blank_to_null(c: Column, tokens=NA_TOKENS) -> Column:
     return F.when(c.isin(*tokens), F.lit(None)).otherwise(c)
 
 
-def number(c: Column, source: T.DataType) -> Column:
-    """The cell as a finite double, else NULL.
+def parsed(c: Column, source: T.DataType) -> Column:
+    """The cell as a double; text that is not a plain number is NULL.
 
-    Java accepts "5d", "5f", hex and "Infinity" as doubles; such text is not a
-    number here, so any cell holding one of those letters is refused.
+    Java reads "5d", "5f" and hexadecimal as doubles, which a data file does not.
     """
-    if isinstance(source, T.StringType):
-        value = F.when(F.translate(c, "dDfFxX", "") == c, c.try_cast("double"))
-    else:
-        value = c.cast("double")
+    if not isinstance(source, T.StringType):
+        return c.cast("double")
+    odd = c.contains("x") | c.contains("X")
+    for suffix in "dDfF":
+        odd = odd | c.endswith(suffix)
+    return F.when(~odd, c.try_cast("double"))
+
+
+def finite(value: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
-def as_type(c: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Cast with NULL for anything the target type cannot hold exactly."""
-    if source == target:
-        if isinstance(target, (T.FloatType, T.DoubleType)):
-            return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-        return c
-    if isinstance(target, T.StringType):
-        return c.cast("string")
+def narrowed(value: Column, target: T.DataType) -> Column:
+    """A parsed double in its declared type; NULL when it does not fit exactly."""
     if isinstance(target, _INTEGRAL):
-        if isinstance(source, _INTEGRAL):
-            return c.try_cast(target)
-        value = number(c, source)
         return F.when(value == F.floor(value), value.try_cast(target))
-    return number(c, source).cast(target)
+    return finite(value).cast(target)
+
+
+def conformed(df: DataFrame, declared: Mapping[str, T.DataType]) -> DataFrame:
+    """Cast the declared columns, in two projections so each cell is parsed once."""
+    steps = {}
+    for f in df.schema:
+        want = declared.get(f.name, f.dataType)
+        if isinstance(f.dataType, _INTEGRAL) and isinstance(want, _INTEGRAL):
+            steps[f.name] = (F.col(f.name), F.col(f.name).try_cast(want))
+        elif isinstance(want, T.NumericType) and f.name in declared:
+            steps[f.name] = (parsed(F.col(f.name), f.dataType), narrowed(F.col(f.name), want))
+        else:
+            steps[f.name] = (F.col(f.name).cast(want), F.col(f.name))
+    once = df.select(*[first.alias(name) for name, (first, _) in steps.items()])
+    return once.select(*[second.alias(name) for name, (_, second) in steps.items()])

@@ -28,12 +28,7 @@ def require_columns(df: DataFrame, target: str = schema.TARGET, where: str = "in
 
 def conform(df: DataFrame) -> DataFrame:
     """Cast known columns to their declared types; others pass through untouched."""
-    declared = {f.name: f.dataType for f in schema.RAW_SCHEMA}
-    return df.select(*[
-        cells.as_type(F.col(f.name), f.dataType, declared[f.name]).alias(f.name)
-        if f.name in declared else F.col(f.name)
-        for f in df.schema
-    ])
+    return cells.conformed(df, {f.name: f.dataType for f in schema.RAW_SCHEMA})
 
 
 def in_scope(df: DataFrame, month: int = 1, years: Sequence[int] = schema.ALL_YEARS) -> DataFrame:
@@ -66,9 +61,9 @@ def add_clock_minutes(df: DataFrame) -> DataFrame:
     """``<col>_MIN`` for every clock column, sine and cosine for the planned ones."""
     kinds = {f.name: f.dataType for f in df.schema}
     present = [c for c in schema.CLOCK_COLUMNS if c in kinds]
-    df = df.withColumns({
-        f"{c}_MIN": clock.hhmm_to_minutes(cells.number(F.col(c), kinds[c])) for c in present
-    })
+    # Parse first, convert second: the conversion refers to the value several times.
+    df = df.withColumns({f"{c}_MIN": cells.parsed(F.col(c), kinds[c]) for c in present})
+    df = df.withColumns({f"{c}_MIN": clock.hhmm_to_minutes(F.col(f"{c}_MIN")) for c in present})
     waves = {}
     for minutes, prefix in schema.CYCLIC_COLUMNS.items():
         if minutes in df.columns:

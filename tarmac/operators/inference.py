@@ -25,10 +25,12 @@ def chi_square(df: DataFrame, row: str = "YEAR", column: str = schema.TARGET,
     """
     if rows is not None:
         df = df.filter(F.col(row).isin(*rows))
-    table = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(F.col(row).alias("_row")).agg(
-        *[F.count_if(F.col(column) == level).alias(f"_{i}") for i, level in enumerate(levels)])
+    table = materialise(
+        df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(F.col(row).alias("_row")).agg(
+            *[F.count_if(F.col(column) == level).alias(f"_{i}") for i, level in enumerate(levels)]))
     names = [f"_{i}" for i in range(len(levels))]
-    margins = table.agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum{c}") for c in names])
+    margins = materialise(
+        table.agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum{c}") for c in names]))
     margin = {c: margins.select(f"_sum{c}").scalar() for c in names}
     n = margins.select(sum((F.col(f"_sum{c}") for c in names), F.lit(0))).scalar()
     used = sum((F.when(margin[c] > 0, 1).otherwise(0) for c in names), F.lit(0))

@@ -1,7 +1,9 @@
 """On-time, cancellation and delay-cause summaries.
 
 Each function takes the cleaned (or operated) table and needs one scan: rows are
-reduced to one per key first, and rankings work on the reduced table.
+reduced to one per key first, and rankings work on the reduced table. Where that
+table has several readers it is stored, since column pruning would otherwise make
+the readers differ and scan the data again.
 """
 
 from __future__ import annotations
@@ -46,8 +48,8 @@ def carrier_ranking(op: DataFrame, edge: int = 5) -> DataFrame:
     Tags come from two k-row heaps over the carrier table, joined back; a carrier
     in both is a bottom one.
     """
-    table = (otp_by(op.filter(F.col("OP_CARRIER").isNotNull()), "OP_CARRIER")
-             .withColumn("otp_pct", F.col("otp") * 100).drop("otp"))
+    table = materialise(otp_by(op.filter(F.col("OP_CARRIER").isNotNull()), "OP_CARRIER")
+                        .withColumn("otp_pct", F.col("otp") * 100).drop("otp"))
     bottom = table.orderBy(F.col("otp_pct").asc_nulls_last(), "OP_CARRIER").limit(edge)
     top = table.orderBy(F.col("otp_pct").desc_nulls_last(), F.col("OP_CARRIER").desc()).limit(edge)
     tags = (top.select("OP_CARRIER", F.lit(1).alias("is_top"), F.lit(0).alias("is_bottom"))
@@ -63,9 +65,9 @@ def carrier_ranking(op: DataFrame, edge: int = 5) -> DataFrame:
 
 
 def carrier_stability(op: DataFrame, k: int = 10) -> DataFrame:
-    """Yearly on-time rate of the k busiest carriers; the ranking reuses the yearly table."""
-    yearly = op.filter(F.col("OP_CARRIER").isNotNull()).groupBy("YEAR", "OP_CARRIER").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(_late()).alias("delay_rate"))
+    """Yearly on-time rate of the k busiest carriers; the ranking reads the yearly table."""
+    yearly = materialise(op.filter(F.col("OP_CARRIER").isNotNull()).groupBy("YEAR", "OP_CARRIER").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(_late()).alias("delay_rate")))
     sizes = yearly.groupBy("OP_CARRIER").agg(F.sum("n").alias("n"))
     busiest = top_k(sizes, "n", k, "OP_CARRIER").select("OP_CARRIER")
     kept = yearly.join(F.broadcast(busiest), "OP_CARRIER", "left_semi")
@@ -129,6 +131,7 @@ def otp_grid(op: DataFrame, row: str, column: str, empty_otp: float | None = Non
 def carrier_extremes(op: DataFrame, k: int = 10, min_flights: int = 1000) -> DataFrame:
     """Best and worst k carriers among those with enough flights."""
     table = otp_by(op.filter(F.col("OP_CARRIER").isNotNull()), "OP_CARRIER").filter(F.col("flights") >= min_flights)
+    table = materialise(table)
     best = top_k(table, "otp", k, "OP_CARRIER").withColumn("side", F.lit("top"))
     worst = top_k(table, "otp", k, "OP_CARRIER", largest=False).withColumn("side", F.lit("bottom"))
     return best.unionByName(worst)

@@ -14,10 +14,21 @@ BROADCAST_ROWS = 500_000
 _local_folders: dict[str, str] = {}
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the wide row-local projections need.
+
+    HotSpot never compiles a method above 8000 bytes of bytecode. Past that size a
+    fused stage runs interpreted, several times slower than unfused operators, so
+    fusion is given up exactly there.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def local_session(cpus: int | str = "*", app: str = "tarmac") -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
     partitions = "8" if cpus == "*" else str(cpus)
-    return (
+    return tune(
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
