@@ -437,5 +437,18 @@ ORACLES: dict[str, str] = {
         a AS (SELECT YEAR, round({_AUC}, 6) AS roc_auc, round({_AP}, 6) AS pr_auc FROM cum GROUP BY YEAR)
         SELECT t.YEAR, n_samples, {_RATES}, roc_auc, pr_auc FROM t JOIN a ON t.YEAR = a.YEAR"""),
 }
+ORACLES |= {
+    "m19_early_verdicts": _q(CLEAN, """SELECT DEP_DELAY, CASE WHEN DEP_DELAY <= 0 THEN 'on time' WHEN DEP_DELAY > 0 THEN 'may be late' END AS TRACK_A_VERDICT,
+        CASE WHEN DEP_DELAY > 15 THEN 'very likely late' WHEN DEP_DELAY <= 15 THEN 'likely on time' END AS TRACK_B_VERDICT, YEAR FROM clean"""),
+    "m20_planned_flights": _q(CLEAN, """SELECT YEAR, ROUTE, CAST(CRS_ARR_TIME_MIN // 60 AS INT) AS DEP_HOUR, CAST(CRS_ARR_TIME_MIN % 60 AS INT) AS DEP_MINUTE,
+        CAST(CRS_ARR_TIME_MIN AS INT) AS CRS_DEP_TIME_MIN, round(CAST(CRS_ARR_SIN AS DOUBLE), 6) + 0.0 AS CRS_DEP_SIN,
+        round(CAST(CRS_ARR_COS AS DOUBLE), 6) + 0.0 AS CRS_DEP_COS, DAY_OF_WEEK, IS_WEEKEND, CAST(floor(DISTANCE / 250) + 1 AS INT) AS DISTANCE_GROUP,
+        CASE WHEN CRS_ARR_TIME_MIN < 360 THEN '0001-0559' ELSE format('{:02d}00-{:02d}59', CRS_ARR_TIME_MIN // 60, CRS_ARR_TIME_MIN // 60) END AS DEP_TIME_BLK FROM clean"""),
+    "io08_year_partitions": _q(OP, "SELECT YEAR, count(*) AS n FROM op GROUP BY YEAR"),
+    "io10_feature_tables": _q(OP, """SELECT track, CASE WHEN YEAR = 2025 THEN 'test' ELSE 'train' END AS split, count(*) AS n
+        FROM op, (SELECT unnest(['A', 'B']) AS track) t WHERE ARR_DEL15 IS NOT NULL GROUP BY ALL"""),
+    "io11_stored_maps": _q(MAPS, "SELECT source, round(sum(freq), 6) AS total, count(*) AS keys FROM freqs GROUP BY source"),
+    "s01_incremental_ingest": _q(CLEAN, "SELECT YEAR, count(*) AS n, count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS n_operated FROM clean GROUP BY YEAR"),
+}
 for _name, _row, _where in (("h01_chi_square", "YEAR", "AND YEAR IN (2021, 2025)"), ("h01_chi_square_all_years", "YEAR", "")):
     ORACLES[_name] = _q(OP + _chi(_row, _where), "SELECT round(chi2, 6) AS chi2, dof, n, round(sqrt(chi2 / (n * (k - 1))), 6) AS cramers_v FROM x, d")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy
 from tarmac import schema
 from tarmac.functions import clock, dates, delays
-from tarmac.operators import (cleaning, distributions, encoding, features, inference, metrics,
-                              ordering, quality, ranks, summaries)
-from tarmac.session import materialise, tune
+from tarmac.operators import (cleaning, distributions, encoding, explain, features, inference, metrics,
+                              models, ordering, quality, ranks, summaries)
+from tarmac.plans import evaluation, overview
+from tarmac.plans.prepare import prepare
+from tarmac.session import materialise, shared_folder, tune
+from tarmac.sources import models as model_store
+from tarmac.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -448,3 +453,171 @@ _simple("m12_positive_rate", delay_score, metrics.positive_rate)
 def _(spark, folder):
     return metrics.drift(delay_score(spark, folder), prediction=F.col("DEP_DELAY") > 15)
 
+
+# --- verdicts and hypothetical flights -----------------------------------------
+
+
+@query("m19_early_verdicts")
+def _(spark, folder):
+    return overview.early_verdicts(clean(spark, folder)).select("DEP_DELAY", "TRACK_A_VERDICT", "TRACK_B_VERDICT", "YEAR")
+
+
+@query("m20_planned_flights")
+def _(spark, folder):
+    # Every scheduled flight asked as a what-if, from its hour, minute and ends.
+    minutes = F.col("CRS_ARR_TIME_MIN")
+    asked = clean(spark, folder).select(
+        "YEAR", "DAY_OF_WEEK", "OP_CARRIER", "ORIGIN", "DEST", "DISTANCE",
+        F.floor(minutes / 60).cast("int").alias("DEP_HOUR"), F.pmod(minutes, F.lit(60)).alias("DEP_MINUTE"))
+    return overview.planned_flights(asked).select(
+        "YEAR", "ROUTE", "DEP_HOUR", "DEP_MINUTE", "CRS_DEP_TIME_MIN", "CRS_DEP_SIN", "CRS_DEP_COS", "DAY_OF_WEEK",
+        "IS_WEEKEND", "DISTANCE_GROUP", "DEP_TIME_BLK")
+
+
+# --- models: short runs over whole tables, checked for rows --------------------
+
+QUICK = {
+    "logistic_regression": {"maxIter": 25},
+    "random_forest": {"numTrees": 5, "maxDepth": 6},
+    "boosted_ratio": {"maxIter": 3, "maxDepth": 4},
+    "boosted_balanced": {"maxIter": 3, "maxDepth": 4},
+}
+
+
+def _split(spark, folder, track):
+    table = materialise(features.track_table(encoded(spark, folder), track))
+    return encoding.train_rows(table), encoding.test_rows(table)
+
+
+def _evaluated(spark, folder, track, names=None):
+    train, test = _split(spark, folder, track)
+    return evaluation.train_and_score(train, test, track, QUICK, names=names)
+
+
+def _model_query(name, track, model):
+    query(name)(lambda spark, folder: metrics.compute_metrics(
+        _evaluated(spark, folder, track, [model])[1], prediction="predicted", by=["model"]))
+
+
+_model_query("m01_logistic_regression", "A", "logistic_regression")
+_model_query("m02_random_forest", "A", "random_forest")
+_model_query("m03_boosted_ratio", "A", "boosted_ratio")
+_model_query("m04_boosted_balanced", "A", "boosted_balanced")
+
+
+@query("m06_batch_scores")
+def _(spark, folder):
+    return _evaluated(spark, folder, "B", ["logistic_regression"])[1]
+
+
+@query("m13_model_comparison")
+def _(spark, folder):
+    scored = _evaluated(spark, folder, "B")[1]
+    comparison = evaluation.full_evaluation(scored)["comparison"]
+    return comparison.withColumn("best", F.col("model") == evaluation.best_model(comparison).select("model").scalar())
+
+
+@query("m14_grid_search")
+def _(spark, folder):
+    train, _ = _split(spark, folder, "A")
+    names = list(schema.TRACK_A)
+    rows = materialise(models.feature_rows(train, names, models.feature_medians(train, names), keep=["YEAR"]))
+    return models.grid_search(rows, names, "logistic_regression", grid={"C": [0.01, 1.0]}, settings={"maxIter": 10})
+
+
+@query("m15_permutation_importance")
+def _(spark, folder):
+    train, test = _split(spark, folder, "B")
+    names = list(schema.TRACKS["B"])
+    medians = models.feature_medians(train, names)
+    model = models.train_one(materialise(models.feature_rows(train, names, medians)), names, "logistic_regression", {"maxIter": 25})
+    return explain.permutation_importance(model, models.feature_rows(test, names, medians), names, repeats=2)
+
+
+@query("m16_attributions")
+def _(spark, folder):
+    train, test = _split(spark, folder, "B")
+    names = list(schema.TRACKS["B"])
+    medians = models.feature_medians(train, names)
+    model = models.train_one(materialise(models.feature_rows(train, names, medians)), names, "random_forest", QUICK["random_forest"])
+    rows = models.feature_rows(test, names, medians)
+    return explain.attribution_summary(explain.sampled_attributions(model, rows, names, max_rows=1000, draws=4))
+
+
+@query("m16_linear_attributions")
+def _(spark, folder):
+    train, test = _split(spark, folder, "A")
+    names = list(schema.TRACK_A)
+    medians = models.feature_medians(train, names)
+    model = models.train_one(materialise(models.feature_rows(train, names, medians)), names, "logistic_regression", {"maxIter": 25})
+    return explain.linear_attributions(model, models.feature_rows(test, names, medians), names)
+
+
+@query("m18_full_evaluation")
+def _(spark, folder):
+    scored = _evaluated(spark, folder, "A", ["logistic_regression", "random_forest"])[1]
+    return evaluation.full_evaluation(scored)["calibration"]
+
+
+@query("j06_track_comparison")
+def _(spark, folder):
+    wide = materialise(features.track_table(encoded(spark, folder), "B"))
+    train, test = encoding.train_rows(wide), encoding.test_rows(wide)
+    parts = [metrics.compute_metrics(
+        evaluation.train_and_score(train, test, t, QUICK, names=["logistic_regression", "random_forest"])[1],
+        prediction="predicted", by=["model"]) for t in schema.TRACKS]
+    return evaluation.compare_tracks(*parts)
+
+
+@query("io13_saved_model")
+def _(spark, folder):
+    train, test = _split(spark, folder, "A")
+    names = list(schema.TRACK_A)
+    medians = models.feature_medians(train, names)
+    model = models.train_one(materialise(models.feature_rows(train, names, medians)), names, "random_forest", QUICK["random_forest"])
+    where = f"{shared_folder(spark)}/tarmac-models/{uuid.uuid4().hex}"
+    model_store.save_model(model, where, "A", "random_forest")
+    again = model_store.load_model(where, "A", "random_forest")
+    return metrics.compute_metrics(models.score(again, models.feature_rows(test, names, medians)), prediction="predicted")
+
+
+# --- the whole run from text files ---------------------------------------------
+
+
+def _text_files(spark, folder):
+    """The flights as one folder of CSV files per year."""
+    where = f"{shared_folder(spark)}/tarmac-runs/{uuid.uuid4().hex}"
+    df = text_raw(spark, folder).withColumn("_year", F.col("YEAR"))
+    df.write.partitionBy("_year").option("header", True).csv(f"{where}/raw")
+    return where, [f"{where}/raw/_year={y}" for y in schema.ALL_YEARS]
+
+
+@query("io08_year_partitions")
+def _(spark, folder):
+    where, inputs = _text_files(spark, folder)
+    run = prepare(spark, inputs, f"{where}/out")
+    run.accept()
+    return run.table("clean_operated").groupBy("YEAR").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("io10_feature_tables")
+def _(spark, folder):
+    where, inputs = _text_files(spark, folder)
+    return prepare(spark, inputs, f"{where}/out").feature_rows()
+
+
+@query("io11_stored_maps")
+def _(spark, folder):
+    where, inputs = _text_files(spark, folder)
+    maps = prepare(spark, inputs, f"{where}/out").encodings()
+    return maps.frequency.groupBy("source").agg(F.sum("freq").alias("total"), F.count(F.lit(1)).alias("keys"))
+
+
+@query("s01_incremental_ingest")
+def _(spark, folder):
+    where, _ = _text_files(spark, folder)
+    header = raw(spark, folder).columns
+    job = ingest(spark, f"{where}/raw/*", header, f"{where}/stream", f"{where}/checkpoint")
+    job.awaitTermination()
+    table = spark.read.parquet(f"{where}/stream")
+    return table.groupBy("YEAR").agg(F.count(F.lit(1)).alias("n"), F.count_if(delays.is_operated()).alias("n_operated"))

@@ -79,42 +79,46 @@ def compute_metrics(scored: DataFrame, label: str = "label", score: str = "score
 
 
 def confusion_matrix(scored: DataFrame, label: str = "label", score: str = "score",
-                     prediction: str | Column | None = None) -> DataFrame:
-    """The four (actual, predicted) cells, empty ones included."""
-    sums = score_counts(scored, label, score, prediction).agg(
+                     prediction: str | Column | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """The four (actual, predicted) cells per group, empty ones included."""
+    sums = score_counts(scored, label, score, prediction, by).groupBy(*by).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _OUTCOMES])
     cells = {(0, 0): F.col("neg") - F.col("fp"), (0, 1): F.col("fp"),
              (1, 0): F.col("pos") - F.col("tp"), (1, 1): F.col("tp")}
-    return sums.select(F.inline(F.array(*[
+    return sums.select(*by, F.inline(F.array(*[
         F.struct(F.lit(y).alias("actual"), F.lit(p).alias("predicted"), n.alias("n"))
         for (y, p), n in cells.items()])))
 
 
-def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def _anchor(ranked: DataFrame, by: Sequence[str], x: str, y: str, value: float) -> DataFrame:
+    """The curve's fixed end (0, value) once per group, or once if there are none."""
+    groups = ranked.select(*by).distinct() if by else ranked.sparkSession.range(1)
+    return groups.select(*by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias(x),
+                         F.lit(value).alias(y))
+
+
+def roc_curve(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score, after the start point (0, 0) with no threshold."""
-    ranked = ranked_scores(score_counts(scored, label, score))
+    ranked = ranked_scores(score_counts(scored, label, score, by=by), by)
     points = ranked.select(
-        F.col("score").alias("threshold"),
+        *by, F.col("score").alias("threshold"),
         F.try_divide(F.col("before_neg") + F.col("neg"), F.col("total_neg")).alias("fpr"),
         F.try_divide(F.col("before_pos") + F.col("pos"), F.col("total_pos")).alias("tpr"))
-    start = scored.sparkSession.range(1).select(
-        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return start.unionByName(points)
+    return _anchor(ranked, by, "fpr", "tpr", 0.0).unionByName(points)
 
 
-def pr_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def pr_curve(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """One point per distinct score, and the end point (recall 0, precision 1)."""
-    ranked = ranked_scores(score_counts(scored, label, score))
+    ranked = ranked_scores(score_counts(scored, label, score, by=by), by)
     tp, fp = F.col("before_pos") + F.col("pos"), F.col("before_neg") + F.col("neg")
-    points = ranked.select(F.col("score").alias("threshold"),
+    points = ranked.select(*by, F.col("score").alias("threshold"),
                            F.try_divide(tp, F.col("total_pos")).alias("recall"),
                            F.try_divide(tp, tp + fp).alias("precision"))
-    end = scored.sparkSession.range(1).select(
-        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"))
-    return points.unionByName(end)
+    return points.unionByName(_anchor(ranked, by, "recall", "precision", 1.0))
 
 
-def calibration(scored: DataFrame, label: str = "label", score: str = "score", bins: int = 10) -> DataFrame:
+def calibration(scored: DataFrame, label: str = "label", score: str = "score", bins: int = 10,
+                by: Sequence[str] = ()) -> DataFrame:
     """Mean score and positive share per uniform bin of [0, 1]; empty bins absent.
 
     A score on an inner edge belongs to the lower bin.
@@ -122,8 +126,9 @@ def calibration(scored: DataFrame, label: str = "label", score: str = "score", b
     p = F.col(score).cast("double")
     slot = F.greatest(F.ceil(p * bins) - 1, F.lit(0)).cast("int")
     known = scored.filter(F.col(label).isNotNull() & p.isNotNull())
-    return known.groupBy(slot.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_score"), F.avg(label).alias("positive_share")).orderBy("bin")
+    return known.groupBy(*by, slot.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_score"),
+        F.avg(label).alias("positive_share")).orderBy(*by, "bin")
 
 
 def positive_rate(scored: DataFrame, label: str = "label") -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.operators import encoding
 from tarmac.operators.encoding import Encodings
-from tarmac.sources.tables import write_table
+from tarmac.sources.tables import exists, write_table
 
 MANIFEST = "target string, train_years string, inputs string, complete boolean"
 _STATISTICS = "source string, key string, n_rows long, n_operated long, n_labelled long, n_delayed long"
@@ -27,12 +26,10 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
 
 
 def _optional(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    try:
+    """The stored table, or an empty one when there is none."""
+    if exists(spark, path):
         return spark.read.schema(ddl).parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], ddl)
+    return spark.createDataFrame([], ddl)
 
 
 def save(maps: Encodings, folder: str, target: str, years: Sequence[int], fingerprint: str) -> None:

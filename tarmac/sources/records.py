@@ -18,31 +18,34 @@ from tarmac.operators.cleaning import normalise_names, require_columns
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file; only its first line is fetched."""
-    first = spark.read.text(path).first()
+    """Column names of one input (a file, folder or glob); one line is fetched."""
+    first = spark.read.text(path).filter("_metadata.file_block_start = 0").first()
     if first is None:
         raise ValueError(f"{path} is empty")
-    return tuple(next(csv.reader(io.StringIO(first["value"].lstrip("﻿")))))
+    return tuple(next(csv.reader(io.StringIO(first["value"].lstrip("\ufeff")))))
 
 
-def _text_schema(header: Sequence[str]) -> T.StructType:
-    """All columns as text; blank or repeated header cells get a position name."""
-    names, seen = [], set()
+def _text_schema(header: Sequence[str]) -> tuple[T.StructType, bool]:
+    """All columns as text, and whether every header cell is a usable name.
+
+    Blank or repeated header cells get a position name instead.
+    """
+    names, seen, clean = [], set(), True
     for i, cell in enumerate(header):
-        name = cell.strip()
-        if not name or name.upper() in seen:
-            name = f"UNNAMED_{i}"
-        seen.add(name.upper())
-        names.append(name)
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+        key = cell.strip().upper()
+        if not key or key in seen:
+            cell, clean = f"UNNAMED_{i}", False
+        seen.add(key)
+        names.append(cell)
+    return T.StructType([T.StructField(n, T.StringType()) for n in names]), clean
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = schema.NA_TOKENS) -> DataFrame:
-    """All files as text columns with missing-value tokens as NULL.
+    """All inputs as text columns with missing-value tokens as NULL.
 
-    Files are grouped by header and each group is one scan, so a thousand files with
-    the same layout are a single read; differing layouts are united by name and the
-    absent columns are NULL.
+    Each input is a file, folder or glob whose files share one layout; the tasks
+    check every file's header against it. Inputs with equal headers are one scan;
+    differing layouts are united by name and the absent columns are NULL.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -53,14 +56,15 @@ def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str]
         groups[_header(spark, path)].append(path)
     parts = []
     for header, members in groups.items():
-        df = spark.read.schema(_text_schema(header)).option("header", True).option("enforceSchema", True).csv(members)
-        parts.append(normalise_names(df))
+        layout, named = _text_schema(header)
+        reader = spark.read.schema(layout).option("header", True).option("enforceSchema", not named)
+        parts.append(normalise_names(reader.csv(members)))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return united.select(*[cells.blank_to_null(F.col(c), na_tokens).alias(c) for c in united.columns])
 
 
 def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema.TARGET) -> DataFrame:
-    """Raw records, after checking that every file has the required columns."""
+    """Raw records, after checking that every input has the required columns."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if target not in schema.TARGETS:
         raise ValueError(f"target must be one of {schema.TARGETS}")

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A Parquet table; the column list and later filters reach the scan."""
     df = spark.read.parquet(path)
