@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.operators import cleaning, encoding
+from tarmac.session import materialise
 from tarmac.sources.driver_tables import raw_flights
 
 _SMALL = (T.ByteType, T.ShortType)
@@ -30,18 +31,23 @@ def flown(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.operated(clean(spark, folder))
 
 
+def with_maps(spark: SparkSession, folder: str) -> tuple[DataFrame, encoding.Encodings]:
+    """Operated flights and the maps fitted on the training years, off one stored table."""
+    full = materialise(clean(spark, folder))
+    return cleaning.operated(full), encoding.Encodings.fit(encoding.train_rows(full))
+
+
 def encodings(spark: SparkSession, folder: str) -> encoding.Encodings:
     return encoding.Encodings.fit(encoding.train_rows(clean(spark, folder)))
 
 
 def encoded(spark: SparkSession, folder: str) -> DataFrame:
-    return encoding.encode(flown(spark, folder), encodings(spark, folder))
+    return encoding.encode(*with_maps(spark, folder))
 
 
 def history_score(spark: SparkSession, folder: str) -> DataFrame:
     """A fixed, heavily tied score: one minus the carrier's historical on-time share."""
-    maps = encodings(spark, folder)
-    df = encoding.add_history(flown(spark, folder), maps)
+    df = encoding.add_history(*with_maps(spark, folder))
     return df.filter(F.col("ARR_DEL15").isNotNull()).select(
         "YEAR", F.col("ARR_DEL15").cast("int").alias("label"),
         (1 - F.col("CARRIER_HIST_OTP").cast("double")).alias("score"), "DEP_DELAY")

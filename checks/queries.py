@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy
+from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy, with_maps
 from tarmac import schema
 from tarmac.functions import clock, dates, delays
 from tarmac.operators import (cleaning, distributions, encoding, explain, features, inference, metrics,
@@ -184,24 +184,24 @@ def _(spark, folder):
 
 @query("j01_frequency_encode")
 def _(spark, folder):
-    df = encoding.add_frequency(flown(spark, folder), encodings(spark, folder))
+    df = encoding.add_frequency(*with_maps(spark, folder))
     return df.select(*KEY, *schema.FREQUENCY_FEATURES.values())
 
 
 @query("j02_history_encode")
 def _(spark, folder):
-    df = encoding.add_history(flown(spark, folder), encodings(spark, folder))
+    df = encoding.add_history(*with_maps(spark, folder))
     return df.select(*KEY, *schema.HISTORY_FEATURES.values())
 
 
 @query("j03_unseen_audit")
 def _(spark, folder):
-    return encoding.unseen_audit(flown(spark, folder), encodings(spark, folder))
+    return encoding.unseen_audit(*with_maps(spark, folder))
 
 
 @query("j03_unseen_audit_2025")
 def _(spark, folder):
-    return encoding.unseen_audit(flown(spark, folder), encodings(spark, folder), years=[2025])
+    return encoding.unseen_audit(*with_maps(spark, folder), years=[2025])
 
 
 @query("j04_busiest_semi_join")
@@ -374,15 +374,16 @@ def _(spark, folder):
 
 @query("f08_frequency_feature")
 def _(spark, folder):
-    maps = encodings(spark, folder)
-    df = maps.lookup(flown(spark, folder), "ROUTE", freq="ROUTE_FREQ")
+    op, maps = with_maps(spark, folder)
+    df = maps.lookup(op, "ROUTE", freq="ROUTE_FREQ")
     return df.select("ROUTE", F.coalesce("ROUTE_FREQ", F.lit(0.0)).alias("ROUTE_FREQ"), "YEAR")
 
 
 @query("f09_leave_one_out")
 def _(spark, folder):
-    train = encoding.train_rows(flown(spark, folder)).filter(F.col("ARR_DEL15").isNotNull())
-    return encoding.leave_one_out_history(train, encodings(spark, folder), "ORIGIN").select("ORIGIN", "YEAR", "ARR_DEL15", "ORIGIN_LOO_OTP")
+    op, maps = with_maps(spark, folder)
+    train = encoding.train_rows(op).filter(F.col("ARR_DEL15").isNotNull())
+    return encoding.leave_one_out_history(train, maps, "ORIGIN").select("ORIGIN", "YEAR", "ARR_DEL15", "ORIGIN_LOO_OTP")
 
 
 @query("f10_row_counts")

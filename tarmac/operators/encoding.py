@@ -79,56 +79,87 @@ def global_history(stats: DataFrame, source: str = "ORIGIN") -> DataFrame:
 
 
 class Encodings:
-    """Maps held as small written tables, with their counted sizes."""
+    """Train-only maps: one small stored table of key counts plus a few totals.
 
-    def __init__(self, frequency: DataFrame, history: DataFrame, global_otp: DataFrame,
-                 statistics: DataFrame | None = None):
-        self.frequency, self.history = frequency, history
-        self.global_otp, self.statistics = global_otp, statistics
-        sizes = frequency.select("source").unionByName(history.select("source")).groupBy("source").count()
-        self.rows = {r["source"]: r["count"] for r in sizes.collect()}  # a row per encoded column
+    The totals (a row per encoded column) are the only values brought to the driver;
+    rates are column arithmetic on the table.
+    """
+
+    def __init__(self, statistics: DataFrame):
+        self.statistics = statistics
+        known = F.col("key").isNotNull()
+        totals = statistics.groupBy("source").agg(
+            F.count_if(known).alias("keys"), F.sum(F.when(known, F.col("n_rows"))).alias("rows"),
+            F.sum("n_operated").alias("operated"), F.sum(F.when(known, F.col("n_delayed"))).alias("delayed"))
+        self.totals = {r["source"]: r for r in totals.collect()}
+        origin = self.totals.get("ORIGIN")
+        empty = origin is None or not origin["operated"]
+        self.global_otp = NEUTRAL_OTP if empty else (
+            origin["operated"] - (origin["delayed"] or 0)) / origin["operated"]
 
     @classmethod
     def fit(cls, train: DataFrame, target: str = schema.TARGET) -> Encodings:
-        stats = materialise(key_statistics(train, target))
-        return cls(materialise(frequency_map(stats)), materialise(history_map(stats)),
-                   global_history(stats).select("global_otp"), stats)
+        return cls(materialise(key_statistics(train, target)))
+
+    @property
+    def frequency(self) -> DataFrame:
+        return frequency_map(self.statistics)
+
+    @property
+    def history(self) -> DataFrame:
+        return history_map(self.statistics)
+
+    def known_keys(self, source: str) -> DataFrame:
+        """One source's keys with their rates; ``otp`` is NULL for keys never operated."""
+        totals = self.totals.get(source)
+        rows = totals["rows"] if totals is not None and totals["rows"] else 1
+        share = F.try_divide(F.col("n_labelled") - F.col("n_delayed"), F.col("n_labelled"))
+        otp = F.when(F.col("n_operated") > 0, F.coalesce(share, F.lit(NEUTRAL_OTP)))
+        return self.statistics.filter((F.col("source") == source) & F.col("key").isNotNull()).select(
+            F.col("key").alias("_key"), (F.col("n_rows") / F.lit(rows)).alias("freq"), otp.alias("otp"),
+            "n_labelled", "n_delayed")
 
     def lookup(self, df: DataFrame, source: str, **columns: str) -> DataFrame:
-        """Left join one source's rates; a map beyond the size limit is shuffled instead.
+        """Left join one source's columns, e.g. ``freq="ORIGIN_FREQ"``.
 
-        The shuffled form is left to adaptive execution, which splits hot keys of
-        the fact side.
+        The key table is broadcast while its counted rows stay under the limit.
+        Beyond it the join is shuffled, and adaptive execution splits the hot keys
+        of the fact side.
         """
-        parts = {"freq": self.frequency, "otp": self.history}
-        for kind, column in columns.items():
-            table = parts[kind].filter(F.col("source") == source).select(
-                F.col("key").alias("_key"), F.col(kind).alias(column))
-            if self.rows.get(source, 0) <= BROADCAST_ROWS:
-                table = F.broadcast(table)
-            df = df.join(table, F.col(source) == F.col("_key"), "left").drop("_key")
-        return df
+        table = self.known_keys(source).select(
+            "_key", *[F.col(kind).alias(column) for kind, column in columns.items()])
+        totals = self.totals.get(source)
+        if totals is None or totals["keys"] <= BROADCAST_ROWS:
+            table = F.broadcast(table)
+        return df.join(table, F.col(source) == F.col("_key"), "left").drop("_key")
+
+
+def _encode(df: DataFrame, maps: Encodings, frequency: bool, history: bool) -> DataFrame:
+    """One join per source; unseen and unknown keys give frequency 0 and the overall share."""
+    filled = {}
+    for source in schema.FREQUENCY_FEATURES:
+        wanted = {}
+        if frequency:
+            wanted["freq"] = schema.FREQUENCY_FEATURES[source]
+            filled[wanted["freq"]] = F.lit(0.0)
+        if history and source in schema.HISTORY_FEATURES:
+            wanted["otp"] = schema.HISTORY_FEATURES[source]
+            filled[wanted["otp"]] = F.lit(maps.global_otp)
+        if wanted:
+            df = maps.lookup(df, source, **wanted)
+    return df.withColumns({c: F.coalesce(F.col(c), default).cast("float") for c, default in filled.items()})
 
 
 def add_frequency(df: DataFrame, maps: Encodings) -> DataFrame:
-    """Frequency columns; unseen and unknown keys give 0."""
-    for source, feature in schema.FREQUENCY_FEATURES.items():
-        df = maps.lookup(df, source, freq=feature)
-        df = df.withColumn(feature, F.coalesce(F.col(feature), F.lit(0.0)).cast("float"))
-    return df
+    return _encode(df, maps, frequency=True, history=False)
 
 
 def add_history(df: DataFrame, maps: Encodings) -> DataFrame:
-    """History columns; unseen and unknown keys give the overall share."""
-    overall = maps.global_otp.scalar()
-    for source, feature in schema.HISTORY_FEATURES.items():
-        df = maps.lookup(df, source, otp=feature)
-        df = df.withColumn(feature, F.coalesce(F.col(feature), overall).cast("float"))
-    return df
+    return _encode(df, maps, frequency=False, history=True)
 
 
 def encode(df: DataFrame, maps: Encodings) -> DataFrame:
-    return add_history(add_frequency(df, maps), maps)
+    return _encode(df, maps, frequency=True, history=True)
 
 
 def leave_one_out_history(train: DataFrame, maps: Encodings, source: str,
@@ -137,15 +168,10 @@ def leave_one_out_history(train: DataFrame, maps: Encodings, source: str,
 
     For operated training rows only; a key seen once falls back to the overall share.
     """
-    counts = maps.statistics.filter((F.col("source") == source) & F.col("key").isNotNull()).select(
-        F.col("key").alias("_key"), "n_labelled", "n_delayed")
-    if maps.rows.get(source, 0) <= BROADCAST_ROWS:
-        counts = F.broadcast(counts)
-    others = F.col("n_labelled") - 1
-    late: Column = F.col("n_delayed") - F.col(target)
-    joined = train.join(counts, F.col(source) == F.col("_key"), "left")
-    share = F.coalesce(1 - F.try_divide(late, others), maps.global_otp.scalar())
-    return joined.withColumn(f"{source}_LOO_OTP", share).drop("_key", "n_labelled", "n_delayed")
+    joined = maps.lookup(train, source, n_labelled="_labelled", n_delayed="_delayed")
+    late: Column = F.col("_delayed") - F.col(target)
+    share = F.coalesce(1 - F.try_divide(late, F.col("_labelled") - 1), F.lit(maps.global_otp))
+    return joined.withColumn(f"{source}_LOO_OTP", share).drop("_labelled", "_delayed")
 
 
 def unseen_audit(df: DataFrame, maps: Encodings, years: Sequence[int] | None = None) -> DataFrame:
@@ -159,15 +185,15 @@ def unseen_audit(df: DataFrame, maps: Encodings, years: Sequence[int] | None = N
     keys = (df.select(*sources).unpivot([], sources, "source", "key")
             .filter(F.col("key").isNotNull())
             .groupBy("source", "key").agg(F.count(F.lit(1)).alias("n")))
-    kinds = {"freq": maps.frequency, "otp": maps.history}
+    table = maps.statistics.filter(F.col("key").isNotNull()).select(
+        "source", "key", F.lit(True).alias("counted"), (F.col("n_operated") > 0).alias("flown"))
+    joined = keys.join(table, ["source", "key"], "left")
     audits = []
-    for kind, table in kinds.items():
-        wanted = keys if kind == "freq" else keys.filter(F.col("source").isin(*schema.HISTORY_FEATURES))
-        label = F.col("source") if kind == "freq" else F.concat(F.lit("otp_"), F.col("source"))
-        joined = wanted.join(table, ["source", "key"], "left")
-        audits.append(joined.groupBy(label.alias("source")).agg(
-            F.sum("n").alias("total"),
-            F.sum(F.when(F.col(kind).isNull(), F.col("n")).otherwise(0)).alias("unseen")))
+    for kind, prefix, chosen in (("counted", "", schema.FREQUENCY_FEATURES), ("flown", "otp_", schema.HISTORY_FEATURES)):
+        missing = F.when(F.coalesce(F.col(kind), F.lit(False)), 0).otherwise(F.col("n"))
+        audits.append(joined.filter(F.col("source").isin(*chosen)).groupBy(
+            F.concat(F.lit(prefix), F.col("source")).alias("source")).agg(
+            F.sum("n").alias("total"), F.sum(missing).alias("unseen")))
     both = audits[0].unionByName(audits[1])
     return both.withColumn("rate_pct", F.coalesce(delays.percent(F.col("unseen"), F.col("total")), F.lit(0.0)))
 

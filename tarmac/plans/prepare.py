@@ -69,7 +69,7 @@ def prepare(spark: SparkSession, inputs: Sequence[str], folder: str, target: str
             overwrite: bool = True, compact: bool = False) -> Prepared:
     """Run everything: clean, split off operated flights, fit maps, write feature sets."""
     tune(spark)
-    raw = cleaning.conform(records.read_records(spark, inputs, target))
+    raw = records.read_records(spark, inputs, target)
     # Counted while the first table is written. That write has no shuffle unless it
     # is compacted, so a retried task is counted once.
     seen = Observation("rules")

@@ -32,28 +32,27 @@ def _optional(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
-def save(maps: Encodings, folder: str, target: str, years: Sequence[int], fingerprint: str) -> None:
-    """Write the maps; the manifest goes last, so a half-written folder is not reused."""
-    spark = maps.frequency.sparkSession
-    for name, table in (("statistics", maps.statistics), ("frequency", maps.frequency),
-                        ("history", maps.history), ("global_otp", maps.global_otp)):
-        write_table(table, f"{folder}/{name}")
-    row = (target, ",".join(map(str, sorted(years))), fingerprint, True)
-    write_table(spark.createDataFrame([row], MANIFEST), f"{folder}/manifest")
+def save(train: DataFrame, folder: str, target: str, years: Sequence[int], fingerprint: str) -> None:
+    """Fit and write the maps; the manifest goes last, so a half-written folder is not reused."""
+    write_table(encoding.key_statistics(train, target), f"{folder}/statistics")
+    row = train.sparkSession.range(1).select(
+        F.lit(target).alias("target"), F.lit(_years(years)).alias("train_years"),
+        F.lit(fingerprint).alias("inputs"), F.lit(True).alias("complete"))
+    write_table(row, f"{folder}/manifest")
 
 
 def load(spark: SparkSession, folder: str) -> Encodings:
-    """Stored maps; an absent table is an empty map, an absent overall share is neutral."""
-    frequency = _optional(spark, f"{folder}/frequency", "source string, key string, freq double")
-    history = _optional(spark, f"{folder}/history", "source string, key string, otp double")
-    stored = _optional(spark, f"{folder}/global_otp", "global_otp double")
-    overall = stored.agg(F.coalesce(F.max("global_otp"), F.lit(encoding.NEUTRAL_OTP)).alias("global_otp"))
-    return Encodings(frequency, history, overall, _optional(spark, f"{folder}/statistics", _STATISTICS))
+    """Stored maps. Without any, every key is unseen and the overall share is neutral."""
+    return Encodings(_optional(spark, f"{folder}/statistics", _STATISTICS))
+
+
+def _years(years: Sequence[int]) -> str:
+    return ",".join(map(str, sorted(years)))
 
 
 def is_current(spark: SparkSession, folder: str, target: str, years: Sequence[int], fingerprint: str) -> bool:
     row = _optional(spark, f"{folder}/manifest", MANIFEST).first()
-    return row is not None and tuple(row) == (target, ",".join(map(str, sorted(years))), fingerprint, True)
+    return row is not None and tuple(row) == (target, _years(years), fingerprint, True)
 
 
 def fit_or_load(train: DataFrame, folder: str, fingerprint: str, target: str = schema.TARGET,
@@ -61,5 +60,5 @@ def fit_or_load(train: DataFrame, folder: str, fingerprint: str, target: str = s
     """Reuse stored maps made from the same inputs, years and target; else make them."""
     spark = train.sparkSession
     if not is_current(spark, folder, target, years, fingerprint):
-        save(Encodings.fit(train, target), folder, target, years, fingerprint)
+        save(train, folder, target, years, fingerprint)
     return load(spark, folder)

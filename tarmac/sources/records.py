@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tarmac import schema
 from tarmac.functions import cells
-from tarmac.operators.cleaning import normalise_names, require_columns
+from tarmac.operators.cleaning import conform, normalise_names
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -40,6 +40,22 @@ def _text_schema(header: Sequence[str]) -> tuple[T.StructType, bool]:
     return T.StructType([T.StructField(n, T.StringType()) for n in names]), clean
 
 
+def _united(spark: SparkSession, headers: dict[str, tuple[str, ...]]) -> DataFrame:
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path, header in headers.items():
+        groups[header].append(path)
+    parts = []
+    for header, members in groups.items():
+        layout, named = _text_schema(header)
+        reader = spark.read.schema(layout).option("header", True).option("enforceSchema", not named)
+        parts.append(normalise_names(reader.csv(members)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _without_tokens(df: DataFrame, tokens: Sequence[str], skip: frozenset[str] = frozenset()) -> DataFrame:
+    return df.select(*[F.col(c) if c in skip else cells.blank_to_null(F.col(c), tokens).alias(c) for c in df.columns])
+
+
 def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = schema.NA_TOKENS) -> DataFrame:
     """All inputs as text columns with missing-value tokens as NULL.
 
@@ -47,35 +63,29 @@ def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str]
     check every file's header against it. Inputs with equal headers are one scan;
     differing layouts are united by name and the absent columns are NULL.
     """
-    if isinstance(paths, str):
-        paths = [paths]
+    paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("no input files")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        groups[_header(spark, path)].append(path)
-    parts = []
-    for header, members in groups.items():
-        layout, named = _text_schema(header)
-        reader = spark.read.schema(layout).option("header", True).option("enforceSchema", not named)
-        parts.append(normalise_names(reader.csv(members)))
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return united.select(*[cells.blank_to_null(F.col(c), na_tokens).alias(c) for c in united.columns])
+    return _without_tokens(_united(spark, {p: _header(spark, p) for p in paths}), na_tokens)
 
 
-def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema.TARGET) -> DataFrame:
-    """Raw records, after checking that every input has the required columns."""
+def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema.TARGET,
+                 na_tokens: Sequence[str] = schema.NA_TOKENS) -> DataFrame:
+    """Conformed records, after checking that every input has the required columns."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if target not in schema.TARGETS:
         raise ValueError(f"target must be one of {schema.TARGETS}")
-    for path in paths:
-        present = [c.strip().upper() for c in _header(spark, path)]
+    if not paths:
+        raise ValueError("no input files")
+    headers = {path: _header(spark, path) for path in paths}
+    for path, header in headers.items():
+        present = {c.strip().upper() for c in header}
         missing = [c for c in (*schema.REQUIRED, target) if c not in present]
         if missing:
             raise ValueError(f"required columns missing from {path}: {', '.join(missing)}")
-    df = read_csv(spark, paths)
-    require_columns(df, target)
-    return df
+    # No missing-value token is a number, so the cast of a numeric column drops them anyway.
+    numbers = frozenset(f.name for f in schema.RAW_SCHEMA if isinstance(f.dataType, T.NumericType))
+    return conform(_without_tokens(_united(spark, headers), na_tokens, numbers))
 
 
 def list_csv(spark: SparkSession, folder: str) -> list[str]:
