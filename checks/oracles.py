@@ -437,7 +437,30 @@ ORACLES: dict[str, str] = {
         a AS (SELECT YEAR, round({_AUC}, 6) AS roc_auc, round({_AP}, 6) AS pr_auc FROM cum GROUP BY YEAR)
         SELECT t.YEAR, n_samples, {_RATES}, roc_auc, pr_auc FROM t JOIN a ON t.YEAR = a.YEAR"""),
 }
+_ENCODED = "YEAR, DAY_OF_MONTH, DAY_OF_WEEK, IS_WEEKEND, CRS_DEP_TIME_MIN, CRS_ARR_TIME_MIN, CRS_DEP_SIN, CRS_DEP_COS, CRS_ARR_SIN, CRS_ARR_COS, CRS_ELAPSED_TIME, DISTANCE, DISTANCE_GROUP, OP_CARRIER_FREQ, CARRIER_HIST_OTP, ORIGIN_FREQ, ORIGIN_HIST_OTP, DEST_FREQ, ROUTE_FREQ, DEP_TIME_BLK_FREQ, ARR_DEL15".split(", ")
+_VERDICTS = [("A", c, "ok") for c in _ENCODED] + [("A", "ARR_DELAY", "leaked")] + [
+    ("B", c, "ok") for c in (*_ENCODED, "DEP_DELAY", "DEP_DELAY_NEW", "DEP_DEL15", "TAXI_OUT")]
+_ABSENT = sorted("""OP_UNIQUE_CARRIER OP_CARRIER_AIRLINE_ID TAIL_NUM OP_CARRIER_FL_NUM ORIGIN_AIRPORT_ID ORIGIN_AIRPORT_SEQ_ID ORIGIN_CITY_MARKET_ID
+ ORIGIN_CITY_NAME ORIGIN_STATE_ABR ORIGIN_STATE_FIPS ORIGIN_STATE_NM ORIGIN_WAC DEST_AIRPORT_ID DEST_AIRPORT_SEQ_ID DEST_CITY_MARKET_ID DEST_CITY_NAME
+ DEST_STATE_ABR DEST_STATE_FIPS DEST_STATE_NM DEST_WAC DEP_TIME DEP_DELAY_GROUP WHEELS_OFF WHEELS_ON ARR_TIME ARR_DELAY_GROUP ARR_TIME_BLK
+ ACTUAL_ELAPSED_TIME FLIGHTS FIRST_DEP_TIME TOTAL_ADD_GTIME LONGEST_ADD_GTIME DIV_AIRPORT_LANDINGS DIV_REACHED_DEST DIV_ACTUAL_ELAPSED_TIME
+ DIV_ARR_DELAY DIV_DISTANCE""".split())
+_ADDED = sorted("""MONTH CRS_DEP_TIME_MIN CRS_ARR_TIME_MIN CRS_DEP_SIN CRS_DEP_COS CRS_ARR_SIN CRS_ARR_COS FL_DATE IS_WEEKEND ROUTE ARR_DELAY_CAT
+ DOMINANT_DELAY_CAUSE""".split())
 ORACLES |= {
+    "io01_csv_scan": _q(RAW, f"SELECT * EXCLUDE (MONTH) REPLACE (nullif(CRS_DEP_TIME, '') AS CRS_DEP_TIME) FROM (SELECT {_TYPES} FROM raw)"),
+    "io02_csv_union": _q(RAW, """SELECT CAST(YEAR AS VARCHAR) AS YEAR, ORIGIN, CASE WHEN YEAR < 2024 THEN DEST END AS DEST,
+        CASE WHEN YEAR >= 2024 THEN format('{:.1f}', TAXI_OUT) END AS TAXI_OUT, nullif(CRS_DEP_TIME, '') AS CRS_DEP_TIME FROM raw"""),
+    "io03_header_names": _q(RAW, "SELECT CAST(YEAR AS VARCHAR) AS YEAR, OP_CARRIER, format('{:.1f}', ARR_DELAY) AS ARR_DELAY FROM raw"),
+    "io05_required_columns": _q(RAW, "SELECT 'required columns missing from input: DIVERTED' AS message, count(*) AS n FROM raw"),
+    "io09_partition_overwrite": _q(OP, "SELECT YEAR, count(*) AS n FROM op WHERE YEAR < 2025 OR ORIGIN = 'N99' GROUP BY YEAR"),
+    "io12_map_reuse": _q(MAPS, "SELECT total_train_operated, true AS fitted_0, false AS fitted_1, true AS fitted_2 FROM globo"),
+    "f04_leakage_audit": _q(MAPS, " UNION ALL ".join(
+        f"SELECT '{t}' AS track, '{c}' AS \"column\", '{v}' AS verdict, count({c}) AS non_null FROM enc WHERE ARR_DEL15 IS NOT NULL" for t, c, v in _VERDICTS)),
+    "f05_expected_columns": _q(RAW, f"SELECT count(*) AS n, '{','.join(_ABSENT)}' AS missing, '{','.join(_ADDED)}' AS extra FROM raw"),
+    "f11_feature_rows": _q(OP, """, m AS (SELECT quantile_cont(CAST(CRS_DEP_TIME_MIN AS DOUBLE), 0.5) AS t FROM op WHERE YEAR < 2025)
+        SELECT coalesce(CAST(CRS_DEP_TIME_MIN AS DOUBLE), t) AS CRS_DEP_TIME_MIN, DISTANCE, CAST(IS_WEEKEND AS DOUBLE) AS IS_WEEKEND,
+        CAST(ARR_DEL15 AS DOUBLE) AS label, YEAR AS key_YEAR FROM op, m WHERE ARR_DEL15 IS NOT NULL"""),
     "m19_early_verdicts": _q(CLEAN, """SELECT DEP_DELAY, CASE WHEN DEP_DELAY <= 0 THEN 'on time' WHEN DEP_DELAY > 0 THEN 'may be late' END AS TRACK_A_VERDICT,
         CASE WHEN DEP_DELAY > 15 THEN 'very likely late' WHEN DEP_DELAY <= 15 THEN 'likely on time' END AS TRACK_B_VERDICT, YEAR FROM clean"""),
     "m20_planned_flights": _q(CLEAN, """SELECT YEAR, ROUTE, CAST(CRS_ARR_TIME_MIN // 60 AS INT) AS DEP_HOUR, CAST(CRS_ARR_TIME_MIN % 60 AS INT) AS DEP_MINUTE,

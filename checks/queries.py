@@ -16,6 +16,7 @@ from tarmac.operators import (cleaning, distributions, encoding, explain, featur
 from tarmac.plans import evaluation, overview
 from tarmac.plans.prepare import prepare
 from tarmac.session import materialise, shared_folder, tune
+from tarmac.sources import mappings, records, tables
 from tarmac.sources import models as model_store
 from tarmac.streaming.ingest import ingest
 
@@ -44,6 +45,62 @@ def _(spark, folder):
     return cleaning.conform(text_raw(spark, folder))
 
 
+def _csv(df, where):
+    df.write.option("header", True).csv(where)
+    return where
+
+
+@query("io01_csv_scan")
+def _(spark, folder):
+    return records.read_records(spark, _text_files(spark, folder)[1]).drop("MONTH")
+
+
+@query("io02_csv_union")
+def _(spark, folder):
+    where = f"{shared_folder(spark)}/tarmac-runs/{uuid.uuid4().hex}"
+    df = text_raw(spark, folder)
+    early = _csv(df.filter("YEAR < 2024").drop("TAXI_OUT"), f"{where}/early")
+    late = _csv(df.filter("YEAR >= 2024").drop("DEST"), f"{where}/late")
+    return records.read_csv(spark, [early, late]).select("YEAR", "ORIGIN", "DEST", "TAXI_OUT", "CRS_DEP_TIME")
+
+
+@query("io03_header_names")
+def _(spark, folder):
+    df = text_raw(spark, folder).select("YEAR", "OP_CARRIER", "ARR_DELAY")
+    untidy = df.toDF(" year", "Op_Carrier ", "arr_delay").withColumn("Unnamed: 3", F.lit("x"))
+    return cleaning.normalise_names(untidy)
+
+
+@query("io05_required_columns")
+def _(spark, folder):
+    df = raw(spark, folder).drop("DIVERTED")
+    try:
+        cleaning.require_columns(df)
+        found = "none"
+    except ValueError as error:
+        found = str(error)
+    return df.agg(F.lit(found).alias("message"), F.count(F.lit(1)).alias("n"))
+
+
+@query("io09_partition_overwrite")
+def _(spark, folder):
+    where = f"{shared_folder(spark)}/tarmac-runs/{uuid.uuid4().hex}"
+    df = flown(spark, folder).select("YEAR", "ORIGIN")
+    tables.write_by_year(df, where)
+    tables.write_by_year(df.filter("YEAR = 2025 AND ORIGIN = 'N99'"), where)
+    return tables.read_table(spark, where).groupBy("YEAR").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("io12_map_reuse")
+def _(spark, folder):
+    where = f"{shared_folder(spark)}/tarmac-runs/{uuid.uuid4().hex}"
+    train = encoding.train_rows(clean(spark, folder))
+    mark = mappings.input_fingerprint(spark, [f"{folder}/lineitem.parquet", f"{folder}/orders.parquet"])
+    made = [mappings.fit_if_stale(train, where, m) for m in (mark, mark, mark + "x")]
+    one = encoding.global_history(mappings.load(spark, where).statistics)
+    return one.select("total_train_operated", *[F.lit(m).alias(f"fitted_{i}") for i, m in enumerate(made)])
+
+
 @query("io06_scope_filter")
 def _(spark, folder):
     scoped = cleaning.in_scope(raw(spark, folder), month=1, years=[2021, 2025])
@@ -212,9 +269,7 @@ def _(spark, folder):
 @query("j05_dominant_group")
 def _(spark, folder):
     table = summaries.otp_by(flown(spark, folder), "YEAR", "OP_CARRIER")
-    # Busiest carrier of each year; the smaller name wins a tie.
-    best = F.max_by(F.struct("OP_CARRIER", "flights", "otp"), F.struct("flights", F.lit(0) - F.col("OP_CARRIER").substr(2, 2).cast("int")))
-    return table.groupBy("YEAR").agg(best.alias("b")).select("YEAR", "b.OP_CARRIER", "b.flights", "b.otp")
+    return ordering.leader(table, "YEAR", "flights", "OP_CARRIER").select("YEAR", "OP_CARRIER", "flights", "otp")
 
 
 @query("a01_frequency_maps")
@@ -357,6 +412,22 @@ def _(spark, folder):
     return features.track_table(encoded(spark, folder), "B")
 
 
+@query("f04_leakage_audit")
+def _(spark, folder):
+    # Track A with one outcome column left in, on purpose; with what each column holds.
+    wide = materialise(encoded(spark, folder).filter(F.col("ARR_DEL15").isNotNull()))
+    tracks = {"A": wide.select(*schema.TRACK_A, "ARR_DEL15", "ARR_DELAY"), "B": features.track_table(wide, "B")}
+    held = [quality.column_profile(t).select(F.lit(name).alias("track"), "column", "non_null") for name, t in tracks.items()]
+    return features.leakage_audit(tracks).join(held[0].unionByName(held[1]), ["track", "column"], "left")
+
+
+@query("f05_expected_columns")
+def _(spark, folder):
+    found = clean(spark, folder)
+    gaps = features.column_differences(found.columns, [f.name for f in schema.RAW_SCHEMA])
+    return found.agg(F.count(F.lit(1)).alias("n"), *[F.lit(",".join(names)).alias(kind) for kind, names in gaps.items()])
+
+
 @query("f06_missing_partitions")
 def _(spark, folder):
     df = clean(spark, folder)
@@ -391,6 +462,13 @@ def _(spark, folder):
     return features.row_counts(flown(spark, folder))
 
 
+@query("f11_feature_rows")
+def _(spark, folder):
+    op = flown(spark, folder)
+    names = ["CRS_DEP_TIME_MIN", "DISTANCE", "IS_WEEKEND"]
+    return models.feature_rows(op, names, models.feature_medians(encoding.train_rows(op), names), keep=["YEAR"])
+
+
 # --- hypothesis tests ----------------------------------------------------------
 
 _simple("h01_chi_square", flown, lambda df: inference.chi_square(df).drop("p_value"))
@@ -506,6 +584,15 @@ _model_query("m03_boosted_ratio", "A", "boosted_ratio")
 _model_query("m04_boosted_balanced", "A", "boosted_balanced")
 
 
+@query("m05_train_all")
+def _(spark, folder):
+    train, test = _split(spark, folder, "A")
+    scored = evaluation.train_and_score(train, test, "A", {
+        "logistic_regression": {"maxIter": 5}, "random_forest": {"numTrees": 2, "maxDepth": 4},
+        "boosted_ratio": {"maxIter": 1, "maxDepth": 3}, "boosted_balanced": {"maxIter": 1, "maxDepth": 3}})[1]
+    return scored.groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("m06_batch_scores")
 def _(spark, folder):
     return _evaluated(spark, folder, "B", ["logistic_regression"])[1]

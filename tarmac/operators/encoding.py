@@ -199,7 +199,12 @@ def unseen_audit(df: DataFrame, maps: Encodings, years: Sequence[int] | None = N
 
 
 def label_encode(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
-    """Attach integer codes; values without a code, and unknown ones, get -1."""
+    """Attach integer codes; values without a code, and unknown ones, get -1.
+
+    ``codes`` is a stored table, so counting it reads only its footers.
+    """
     renamed = codes.select(F.col(column).alias("_key"), F.col("code").alias(f"{column}_LABEL"))
+    if codes.count() <= BROADCAST_ROWS:
+        renamed = F.broadcast(renamed)
     joined = df.join(renamed, F.col(column) == F.col("_key"), "left").drop("_key")
     return joined.withColumn(f"{column}_LABEL", F.coalesce(F.col(f"{column}_LABEL"), F.lit(-1)))

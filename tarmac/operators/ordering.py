@@ -19,6 +19,13 @@ def top_k(df: DataFrame, measure: str, k: int, key: str | Sequence[str],
     return df.orderBy(first, *[F.col(c).asc() for c in keys]).limit(k)
 
 
+def leader(table: DataFrame, by: str, measure: str, key: str) -> DataFrame:
+    """The row with the largest measure in each group; ties go to the smaller key."""
+    rest = [c for c in table.columns if c != by]
+    best = F.min_by(F.struct(*rest), F.struct(-F.col(measure), F.col(key)))
+    return table.filter(F.col(measure).isNotNull()).groupBy(by).agg(best.alias("_best")).select(by, "_best.*")
+
+
 def busiest(df: DataFrame, key: str, k: int) -> DataFrame:
     """Keys of the k most frequent values; unknown keys do not compete."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

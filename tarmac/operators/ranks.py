@@ -80,7 +80,7 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
 
 
 def dense_codes(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values of a column with codes 0, 1, 2 ... in value order."""
+    """Distinct values of a column with codes 0, 1, 2 ... in value order, as a stored table."""
     distinct = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.lit(1).alias("n"))
-    return running_totals(distinct, column, ["n"]).select(
-        column, F.col("before_n").cast("int").alias("code"))
+    return materialise(running_totals(distinct, column, ["n"]).select(
+        column, F.col("before_n").cast("int").alias("code")))

@@ -7,6 +7,7 @@ the way, which prunes columns and years and leaves nothing to cache.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,20 +81,26 @@ def prepare(spark: SparkSession, inputs: Sequence[str], folder: str, target: str
     raw = records.read_records(spark, inputs, target)
     tables.write_by_year(cleaning.clean(raw, target, month), f"{folder}/clean_full", overwrite, compact)
     full = spark.read.parquet(f"{folder}/clean_full")
-    tables.write_by_year(cleaning.operated(full), f"{folder}/clean_operated", overwrite, compact)
     result = Prepared(spark, folder, list(inputs), target, month)
+    # Two independent jobs over the table just written; together they fill the cluster better.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        jobs = [pool.submit(tables.write_by_year, cleaning.operated(full), f"{folder}/clean_operated", overwrite, compact)]
+        if target == "ARR_DEL15":
+            jobs.append(pool.submit(
+                mappings.fit_if_stale, encoding.train_rows(full, train_years), f"{folder}/mappings",
+                mappings.input_fingerprint(spark, inputs), target, train_years))
+        for job in jobs:
+            job.result()
     if target == "ARR_DEL15":
-        write_features(result, mappings.input_fingerprint(spark, inputs), target, train_years)
+        write_features(result, train_years)
     return result
 
 
-def write_features(run: Prepared, fingerprint: str, target: str, train_years: Sequence[int]) -> None:
+def write_features(run: Prepared, train_years: Sequence[int]) -> None:
     """Encoded track tables split into train and test; track A is a projection of B."""
-    train = encoding.train_rows(run.table("clean_full"), train_years)
-    maps = mappings.fit_or_load(train, f"{run.folder}/mappings", fingerprint, target, train_years)
-    encoded = encoding.encode(run.table("clean_operated"), maps)
-    wide = features.track_table(encoded, "B", target).withColumn("split", features.split_name(train_years))
+    encoded = encoding.encode(run.table("clean_operated"), run.encodings())
+    wide = features.track_table(encoded, "B", run.target).withColumn("split", features.split_name(train_years))
     wide.write.mode("overwrite").partitionBy("split").parquet(f"{run.folder}/ml_track_b")
     stored = run.table("ml_track_b")
-    narrow = stored.select(*[c for c in schema.TRACK_A if c in stored.columns], target, "split")
+    narrow = stored.select(*[c for c in schema.TRACK_A if c in stored.columns], run.target, "split")
     narrow.write.mode("overwrite").partitionBy("split").parquet(f"{run.folder}/ml_track_a")

@@ -55,10 +55,10 @@ def is_current(spark: SparkSession, folder: str, target: str, years: Sequence[in
     return row is not None and tuple(row) == (target, _years(years), fingerprint, True)
 
 
-def fit_or_load(train: DataFrame, folder: str, fingerprint: str, target: str = schema.TARGET,
-                years: Sequence[int] = schema.TRAIN_YEARS) -> Encodings:
-    """Reuse stored maps made from the same inputs, years and target; else make them."""
-    spark = train.sparkSession
-    if not is_current(spark, folder, target, years, fingerprint):
+def fit_if_stale(train: DataFrame, folder: str, fingerprint: str, target: str = schema.TARGET,
+                 years: Sequence[int] = schema.TRAIN_YEARS) -> bool:
+    """Make the stored maps unless they come from the same inputs, years and target."""
+    stale = not is_current(train.sparkSession, folder, target, years, fingerprint)
+    if stale:
         save(train, folder, target, years, fingerprint)
-    return load(spark, folder)
+    return stale

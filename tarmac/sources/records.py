@@ -6,6 +6,7 @@ import csv
 import io
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,12 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(first["value"].lstrip("\ufeff")))))
 
 
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Headers of all inputs; the one-line reads overlap."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return dict(zip(paths, pool.map(lambda p: _header(spark, p), paths)))
+
+
 def _text_schema(header: Sequence[str]) -> tuple[T.StructType, bool]:
     """All columns as text, and whether every header cell is a usable name.
 
@@ -66,7 +73,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str]
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("no input files")
-    return _without_tokens(_united(spark, {p: _header(spark, p) for p in paths}), na_tokens)
+    return _without_tokens(_united(spark, _headers(spark, paths)), na_tokens)
 
 
 def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema.TARGET,
@@ -77,7 +84,7 @@ def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema
         raise ValueError(f"target must be one of {schema.TARGETS}")
     if not paths:
         raise ValueError("no input files")
-    headers = {path: _header(spark, path) for path in paths}
+    headers = _headers(spark, paths)
     for path, header in headers.items():
         present = {c.strip().upper() for c in header}
         missing = [c for c in (*schema.REQUIRED, target) if c not in present]
