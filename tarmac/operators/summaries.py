@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tarmac import schema
 from tarmac.functions import clock, delays
 from tarmac.operators.ordering import top_k
+from tarmac.operators.ranks import quantiles
 from tarmac.session import materialise
 
 
@@ -55,7 +56,7 @@ def carrier_ranking(op: DataFrame, edge: int = 5) -> DataFrame:
     tags = (top.select("OP_CARRIER", F.lit(1).alias("is_top"), F.lit(0).alias("is_bottom"))
             .unionByName(bottom.select("OP_CARRIER", F.lit(0).alias("is_top"), F.lit(1).alias("is_bottom")))
             .groupBy("OP_CARRIER").agg(F.max("is_top").alias("is_top"), F.max("is_bottom").alias("is_bottom")))
-    median = table.select(F.median("otp_pct")).scalar()
+    median = quantiles(table, "otp_pct", [0.5], ["median"]).scalar()
     # At most two heaps of ``edge`` rows.
     return table.join(F.broadcast(tags), "OP_CARRIER", "left").select(
         "OP_CARRIER", "flights", "delay_rate", "otp_pct",

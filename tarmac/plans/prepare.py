@@ -86,9 +86,9 @@ def prepare(spark: SparkSession, inputs: Sequence[str], folder: str, target: str
     with ThreadPoolExecutor(max_workers=2) as pool:
         jobs = [pool.submit(tables.write_by_year, cleaning.operated(full), f"{folder}/clean_operated", overwrite, compact)]
         if target == "ARR_DEL15":
-            jobs.append(pool.submit(
-                mappings.fit_if_stale, encoding.train_rows(full, train_years), f"{folder}/mappings",
-                mappings.input_fingerprint(spark, inputs), target, train_years))
+            jobs.append(pool.submit(lambda: mappings.fit_if_stale(
+                encoding.train_rows(full, train_years), f"{folder}/mappings",
+                mappings.input_fingerprint(spark, inputs), target, train_years)))
         for job in jobs:
             job.result()
     if target == "ARR_DEL15":

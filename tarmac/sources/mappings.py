@@ -25,13 +25,6 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return f"{one['n']}:{one['x']}"
 
 
-def _optional(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """The stored table, or an empty one when there is none."""
-    if exists(spark, path):
-        return spark.read.schema(ddl).parquet(path)
-    return spark.createDataFrame([], ddl)
-
-
 def save(train: DataFrame, folder: str, target: str, years: Sequence[int], fingerprint: str) -> None:
     """Fit and write the maps; the manifest goes last, so a half-written folder is not reused."""
     write_table(encoding.key_statistics(train, target), f"{folder}/statistics")
@@ -43,7 +36,9 @@ def save(train: DataFrame, folder: str, target: str, years: Sequence[int], finge
 
 def load(spark: SparkSession, folder: str) -> Encodings:
     """Stored maps. Without any, every key is unseen and the overall share is neutral."""
-    return Encodings(_optional(spark, f"{folder}/statistics", _STATISTICS))
+    path = f"{folder}/statistics"
+    stored = exists(spark, path)
+    return Encodings(spark.read.schema(_STATISTICS).parquet(path) if stored else spark.createDataFrame([], _STATISTICS))
 
 
 def _years(years: Sequence[int]) -> str:
@@ -51,7 +46,9 @@ def _years(years: Sequence[int]) -> str:
 
 
 def is_current(spark: SparkSession, folder: str, target: str, years: Sequence[int], fingerprint: str) -> bool:
-    row = _optional(spark, f"{folder}/manifest", MANIFEST).first()
+    if not exists(spark, f"{folder}/manifest"):
+        return False
+    row = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").first()
     return row is not None and tuple(row) == (target, _years(years), fingerprint, True)
 
 
