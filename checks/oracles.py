@@ -207,11 +207,13 @@ _KIND = {c: kind for kind, names in _STORED.items() for c in names.split()}
 
 
 def _profile(columns, distinct: bool) -> str:
-    places = 2 if distinct else 6
+    share = "(count(*) - count({c})) / CAST(count(*) AS DOUBLE) * 100"
+    # The quality table has two places, halves of the scaled value to even.
+    share = f"round_even({share} * 100, 0) / 100" if distinct else f"round({share}, 6)"
     extra = ", count(DISTINCT {c}) AS n_distinct" if distinct else ""
     return " UNION ALL ".join(
         (f"SELECT '{{c}}' AS \"column\", '{_KIND[c]}' AS dtype, count({{c}}) AS non_null, count(*) - count({{c}}) AS null_count,"
-         f" round((count(*) - count({{c}})) / CAST(count(*) AS DOUBLE) * 100, {places}) AS null_pct{extra} FROM clean").format(c=c)
+         f" {share} AS null_pct{extra} FROM clean").format(c=c)
         for c in columns)
 
 

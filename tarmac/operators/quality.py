@@ -88,7 +88,9 @@ def quality_table(df: DataFrame, approximate: bool = False) -> DataFrame:
     # Both sides have one row per column of the schema.
     table = column_profile(df).join(F.broadcast(distinct), "column", "left")
     table = table.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
-    return table.withColumn("null_pct", F.round("null_pct", 2)).orderBy(F.col("null_pct").desc(), "column")
+    # Two places, halves of the scaled value to even, as numeric libraries round.
+    two_places = F.bround(F.col("null_pct") * 100, 0) / 100
+    return table.withColumn("null_pct", two_places).orderBy(F.col("null_pct").desc(), "column")
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

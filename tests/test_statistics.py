@@ -206,6 +206,12 @@ def test_describe_and_quality(spark, numbers):
     assert approximate["g"] == 4
 
 
+def test_quality_table_rounds_halves_to_even(spark):
+    rows = spark.range(2000).select(F.when(F.col("id") >= 1, 1).alias("one"), F.when(F.col("id") >= 3, 1).alias("three"))
+    table = {r.column: r.null_pct for r in quality.quality_table(rows).collect()}
+    assert table == {"one": float(np.round(1 / 2000 * 100, 2)), "three": float(np.round(3 / 2000 * 100, 2))}
+
+
 def test_recorded_invariants(full, op):
     total = quality.yearly_ingestion(full).filter("YEAR IS NULL").first()
     assert total.cancelled + total.diverted + total.rows_operated == total.rows_read == full.count()
