@@ -65,12 +65,12 @@ def tidy(df: DataFrame) -> DataFrame:
     """Comparable output: decimals at six places, small integers widened, dates as text."""
     columns = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        cell = f"`{f.name}`"
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            cell = f"round(CAST({cell} AS DOUBLE), 6) + 0.0D"
         elif isinstance(f.dataType, _SMALL):
-            c = c.cast("int")
+            cell = f"CAST({cell} AS INT)"
         elif isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
-        columns.append(c.alias(f.name))
-    return df.select(*columns)
+            cell = f"CAST({cell} AS STRING)"
+        columns.append(f"{cell} AS `{f.name}`")
+    return df.selectExpr(*columns)

@@ -41,8 +41,9 @@ def in_scope(df: DataFrame, month: int = 1, years: Sequence[int] = schema.ALL_YE
 
 
 def _blank_where(df: DataFrame, condition: Column, columns: Iterable[str]) -> DataFrame:
+    present = set(df.columns)
     return df.withColumns({
-        c: F.when(condition, F.lit(None)).otherwise(F.col(c)) for c in columns if c in df.columns
+        c: F.when(condition, F.lit(None)).otherwise(F.col(c)) for c in columns if c in present
     })
 
 
@@ -62,7 +63,7 @@ def add_clock_minutes(df: DataFrame) -> DataFrame:
     kinds = {f.name: f.dataType for f in df.schema}
     present = [c for c in schema.CLOCK_COLUMNS if c in kinds]
     # Parse first, convert second: the conversion refers to the value several times.
-    df = df.withColumns({f"{c}_MIN": cells.parsed(F.col(c), kinds[c]) for c in present})
+    df = df.withColumns({f"{c}_MIN": cells.parsed(c, kinds[c]) for c in present})
     df = df.withColumns({f"{c}_MIN": clock.hhmm_to_minutes(F.col(f"{c}_MIN")) for c in present})
     waves = {}
     for minutes, prefix in schema.CYCLIC_COLUMNS.items():
