@@ -168,7 +168,7 @@ def _(spark, folder):
 @query("p10_delay_category")
 def _(spark, folder):
     df = clean(spark, folder)
-    variant = delays.delay_category(F.col("ARR_DELAY"), schema.NOTEBOOK_DELAY_EDGES, schema.NOTEBOOK_DELAY_LABELS)
+    variant = delays.delay_category(F.col("ARR_DELAY"), schema.VARIANT_DELAY_EDGES, schema.VARIANT_DELAY_LABELS)
     return df.select("ARR_DELAY", "ARR_DELAY_CAT", delays.category_rank(F.col("ARR_DELAY_CAT")).alias("ARR_DELAY_CAT_ORD"),
                      variant.alias("DELAY_CAT"), *KEY)
 
@@ -319,7 +319,7 @@ _simple("a23_correlations", flown, lambda df: distributions.correlation_matrix(
 _simple("a24_delay_by_hour", flown, summaries.mean_delay_by_hour)
 _simple("a25_delay_categories", flown, summaries.category_counts)
 _simple("a25_delay_categories_variant", flown, summaries.category_counts,
-        schema.NOTEBOOK_DELAY_EDGES, schema.NOTEBOOK_DELAY_LABELS)
+        schema.VARIANT_DELAY_EDGES, schema.VARIANT_DELAY_LABELS)
 _simple("a26_delay_histogram", flown, distributions.histogram, "ARR_DELAY", -60, 200, 100)
 
 

@@ -88,8 +88,8 @@ REQUIRED = (
 )
 DELAY_EDGES = (0, 15, 60, 180)
 DELAY_LABELS = ("<=0", "1-15", "16-60", "61-180", ">180")
-NOTEBOOK_DELAY_EDGES = (0, 15, 60, 120)
-NOTEBOOK_DELAY_LABELS = (
+VARIANT_DELAY_EDGES = (0, 15, 60, 120)
+VARIANT_DELAY_LABELS = (
     "On-time/Early", "Slight (1-15)", "Late (16-60)", "Very Late (61-120)", "Extreme (>120)",
 )
 CANCELLATION_REASONS = {"A": "Carrier", "B": "Weather", "C": "NAS", "D": "Security"}

@@ -50,7 +50,7 @@ def test_delay_categories(spark):
     df = spark.createDataFrame([(k,) for k in cases], "d double")
     got = df.select(delays.delay_category(F.col("d")).alias("c"))
     assert one(got, "c") == list(cases.values())
-    book = df.select(delays.delay_category(F.col("d"), schema.NOTEBOOK_DELAY_EDGES, schema.NOTEBOOK_DELAY_LABELS).alias("c"))
+    book = df.select(delays.delay_category(F.col("d"), schema.VARIANT_DELAY_EDGES, schema.VARIANT_DELAY_LABELS).alias("c"))
     assert one(book, "c")[-3] == "Extreme (>120)"
     with pytest.raises(ValueError):
         delays.delay_category(F.col("d"), (0, 1), ("a", "b"))
