@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import quality, simhash, toxicity
+from tarmac.llm import ann, decontam, mixing, pii, quality, simhash, toxicity, urlgraph, warc
 from tarmac.llm.common import fold_of, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def _held_out(folds: int, at: int):
     return F.coalesce(fold_of(F.col("doc_id"), folds) == at, F.lit(False))
 
 
+@query
+def op1_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    index = ann.build(vectors, dims=64)
+    return ann.search(index, index.entries.where("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, held = table(spark, folder, "documents"), _held_out(5, 0)
@@ -31,6 +38,11 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(table(spark, folder, "documents"))
+
+
 @query
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, held = table(spark, folder, "documents"), _held_out(3, 1)
@@ -42,3 +54,34 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+#: The rules that the query is defined by.
+RULES = [
+    urlgraph.Rule("net", "/", "block"),
+    urlgraph.Rule("example.net", "/en/", "allow"),
+    urlgraph.Rule("example.com", "/de/", "block"),
+    urlgraph.Rule("org", "/fr/", "allow"),
+]
+
+
+@query
+def op6_link_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return urlgraph.judge(table(spark, folder, "pages"), RULES)
+
+
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range_no", "place")
+
+
+@query
+def op10_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs)).drop("text")
