@@ -116,7 +116,7 @@ def build(vectors: DataFrame, dims: int, cells: int = 32, sample: int = 8192) ->
     return Index(entries, halves, places)
 
 
-def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.6) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest entries found for each row of ``queries`` (vec_id, vector), itself left out.
 
     A query visits the nearest ``visit`` of the cells that hold entries; all entries of
