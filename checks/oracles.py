@@ -469,11 +469,27 @@ ORACLES |= {
         CAST(CRS_ARR_TIME_MIN AS INT) AS CRS_DEP_TIME_MIN, round(CAST(CRS_ARR_SIN AS DOUBLE), 6) + 0.0 AS CRS_DEP_SIN,
         round(CAST(CRS_ARR_COS AS DOUBLE), 6) + 0.0 AS CRS_DEP_COS, DAY_OF_WEEK, IS_WEEKEND, CAST(floor(DISTANCE / 250) + 1 AS INT) AS DISTANCE_GROUP,
         CASE WHEN CRS_ARR_TIME_MIN < 360 THEN '0001-0559' ELSE format('{:02d}00-{:02d}59', CRS_ARR_TIME_MIN // 60, CRS_ARR_TIME_MIN // 60) END AS DEP_TIME_BLK FROM clean"""),
-    "io08_year_partitions": _q(OP, "SELECT YEAR, count(*) AS n FROM op GROUP BY YEAR"),
-    "io10_feature_tables": _q(OP, """SELECT track, CASE WHEN YEAR = 2025 THEN 'test' ELSE 'train' END AS split, count(*) AS n
-        FROM op, (SELECT unnest(['A', 'B']) AS track) t WHERE ARR_DEL15 IS NOT NULL GROUP BY ALL"""),
-    "io11_stored_maps": _q(MAPS, "SELECT source, round(sum(freq), 6) AS total, count(*) AS keys FROM freqs GROUP BY source"),
-    "s01_incremental_ingest": _q(CLEAN, "SELECT YEAR, count(*) AS n, count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS n_operated FROM clean GROUP BY YEAR"),
+    "io08_year_partitions": _q(OP, f"SELECT {_KEY}, ROUTE, ARR_DEL15, TAXI_OUT FROM op"),
+    "io10_feature_tables": _q(MAPS, f"""SELECT {_TRACK_A.replace('round(', 'round(1.0::DOUBLE * ')}, DEP_DELAY, DEP_DELAY_NEW, DEP_DEL15, TAXI_OUT, ARR_DEL15,
+        CASE WHEN YEAR = 2025 THEN 'test' ELSE 'train' END AS split FROM enc WHERE ARR_DEL15 IS NOT NULL"""),
+    "io10_other_target": _q(MAPS, f"""SELECT * EXCLUDE (ORIGIN_HIST_OTP, CARRIER_HIST_OTP) FROM (
+        SELECT {_TRACK_A.replace('round(', 'round(1.0::DOUBLE * ')}, ARR_DELAY_NEW, CASE WHEN YEAR = 2025 THEN 'test' ELSE 'train' END AS split FROM enc WHERE ARR_DELAY_NEW IS NOT NULL)"""),
+    "io12_narrower_rerun": _q(MAPS, """SELECT YEAR, count(*) AS n, round(sum(CAST(CAST(f.n / CAST(t.n AS DOUBLE) AS FLOAT) AS DOUBLE)), 6) AS origin_freq FROM op
+        JOIN (SELECT ORIGIN, count(*) AS n FROM clean WHERE YEAR IN (2021, 2022) AND ORIGIN IS NOT NULL GROUP BY ORIGIN) f USING (ORIGIN),
+        (SELECT count(ORIGIN) AS n FROM clean WHERE YEAR IN (2021, 2022)) t WHERE YEAR IN (2021, 2022) AND ARR_DEL15 IS NOT NULL GROUP BY YEAR"""),
+    "h01_p_values_all_years": _q(OP + _chi("YEAR", ""), "SELECT dof, round(exp(-chi2 / 2) * (1 + chi2 / 2), 6) AS p_value FROM x, d"),
+    "h03_p_values": _q(OP + _RANKED.format(g="DEP_TIME_BLK"), """SELECT k, n, round(h, 6) AS h, round((h - k + 1) / (n - k), 6) AS epsilon_squared,
+        round(exp(-h / 2) * list_sum([pow(h / 2, i) / CAST(factorial(CAST(i AS INT)) AS DOUBLE) for i in range(CAST((k - 1) // 2 AS BIGINT))]), 6) AS p_value FROM hh"""),
+    "k03_preview": _q(CLEAN, f"SELECT {_KEY}, ROUTE, ARR_DEL15 FROM clean ORDER BY {', '.join(c + ' NULLS FIRST' for c in (_KEY + ', ROUTE, ARR_DEL15').split(', '))} LIMIT 10"),
+    "k04_seeded_sample": _q(OP, f"""SELECT {_KEY}, ARR_DEL15 FROM (SELECT *, md5(concat_ws('|', '42', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '{chr(92)}N')" for c in (_KEY + ', ARR_DEL15').split(', '))},
+        CAST(row_number() OVER (PARTITION BY {_KEY}, ARR_DEL15) AS VARCHAR))) AS draw FROM op) ORDER BY draw LIMIT 1000"""),
+    "io13_saved_model": _q(MAPS, "SELECT CAST(0 AS BIGINT) AS different, count(*) AS n FROM enc WHERE ARR_DEL15 IS NOT NULL AND YEAR = 2025"),
+    "io11_stored_maps": _q(MAPS, "SELECT source, key, round(freq, 6) AS freq FROM freqs"),
+    "s01_incremental_ingest": _q(CLEAN, f"SELECT {_KEY}, ROUTE, ARR_DEL15, TAXI_OUT, CANCELLED, DIVERTED FROM clean"),
 }
 for _name, _row, _where in (("h01_chi_square", "YEAR", "AND YEAR IN (2021, 2025)"), ("h01_chi_square_all_years", "YEAR", "")):
     ORACLES[_name] = _q(OP + _chi(_row, _where), "SELECT round(chi2, 6) AS chi2, dof, n, round(sqrt(chi2 / (n * (k - 1))), 6) AS cramers_v FROM x, d")
+_SIDE = """SELECT (SELECT avg(CASE WHEN (score > 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) FROM scored) AS accuracy, {auc} AS roc_auc FROM cum"""
+ORACLES["j06_fixed_scores"] = f"""SELECT 'fixed' AS model, round(a.accuracy, 6) AS accuracy_a, round(b.accuracy, 6) AS accuracy_b,
+ round(a.roc_auc, 6) AS roc_auc_a, round(b.roc_auc, 6) AS roc_auc_b, round(b.roc_auc - a.roc_auc, 6) AS roc_auc_gain
+ FROM ({_q(_TIED + _curve(), _SIDE.format(auc=_AUC))}) a, ({_q(_SCORED + _curve(), _SIDE.format(auc=_AUC))}) b"""

@@ -54,8 +54,3 @@ def is_operated() -> Column:
 
 def percent(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator) * 100
-
-
-def mean_otp(delayed: Column) -> Column:
-    """Share of on-time rows among rows with a known outcome."""
-    return 1 - F.avg(delayed)

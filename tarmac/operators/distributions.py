@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,35 +12,33 @@ from pyspark.sql import functions as F
 from tarmac import schema
 from tarmac.functions import delays
 from tarmac.operators.ranks import quantiles
-from tarmac.session import materialise
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] = schema.CORRELATION_COLUMNS,
-                       pairs_per_scan: int = 11) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str] = schema.CORRELATION_COLUMNS) -> DataFrame:
     """Pearson r of every ordered pair, each over rows where both are known.
 
-    Pairs go in groups: one aggregate over all 55 pairs generates a method too large
-    for the JVM to compile and measured 20 times slower than five pruned scans. Give
-    it a stored table, not an expensive derivation.
+    One scan: a row is spread to its pairs, which are combined map-side, so a row per
+    pair and task is shuffled. (All pairs as columns of one aggregate make a method
+    too large for the JVM to compile.)
     """
     columns = [c for c in columns if c in df.columns]
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    # A column agrees with itself unless it is constant or empty.
-    selves = [F.when(F.var_pop(c) > 0, F.lit(1.0)).alias(f"{c}__{c}") for c in columns]
-    parts = [_pair_rows(numbers.agg(*selves), [(c, c) for c in columns])]
-    for start in range(0, len(pairs), pairs_per_scan):
-        group = pairs[start:start + pairs_per_scan]
-        parts.append(_pair_rows(numbers.agg(*[F.corr(x, y).alias(f"{x}__{y}") for x, y in group]), group))
-    return reduce(DataFrame.unionByName, parts)
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
+    spread = cells.select("_v", F.explode(F.lit(list(range(len(pairs))))).alias("_pair"))
 
+    def side(k):
+        at = F.element_at(F.lit([p[k] + 1 for p in pairs]), F.col("_pair") + 1)
+        return F.element_at("_v", at)
 
-def _pair_rows(one: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    entries = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"{x}__{y}").alias("r"))
-        for x, y in pairs for a, b in sorted({(x, y), (y, x)})
-    ]
-    return one.select(F.inline(F.array(*entries)))
+    # A column agrees with itself unless it is constant or empty.
+    measured = spread.select("_pair", side(0).alias("a"), side(1).alias("b")).groupBy("_pair").agg(
+        F.corr("a", "b").alias("_r"), F.var_pop("a").alias("_spread"))
+    names = F.lit(columns)
+    left, right = (F.element_at(names, F.element_at(F.lit([p[k] + 1 for p in pairs]), F.col("_pair") + 1)) for k in (0, 1))
+    named = measured.select(left.alias("x"), right.alias("y"), "_r", "_spread")
+    ways = F.array(F.struct(F.col("x"), F.col("y")), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    r = F.when(F.col("x") == F.col("y"), F.when(F.col("_spread") > 0, F.lit(1.0))).otherwise(F.col("_r"))
+    return named.select(F.explode(F.array_distinct(ways)).alias("_way"), r.alias("r")).select("_way.x", "_way.y", "r")
 
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str = schema.TARGET) -> DataFrame:
@@ -55,15 +52,14 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str = sc
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
     """Equal-width counts of clipped values over their observed range; empty bins absent.
 
-    The last bin is closed. Values are counted once; range and bins both read the stored counts.
+    The last bin is closed. One aggregate finds the range; a second pruned scan counts bins, combined map-side.
     """
     clipped = df.select(delays.clip(F.col(column), low, high).alias("v")).filter(F.col("v").isNotNull())
-    counts = materialise(clipped.groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    lowest = counts.select(F.min("v")).scalar()
-    width = counts.select((F.max("v") - F.min("v")) / F.lit(bins)).scalar()
+    ends = clipped.agg(F.struct(F.min("v").alias("low"), ((F.max("v") - F.min("v")) / F.lit(bins)).alias("width"))).scalar()
+    lowest, width = ends["low"], ends["width"]
     # One distinct value has no width: everything is in bin 0.
     slot = F.when(width > 0, F.least(F.floor((F.col("v") - lowest) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    placed = counts.withColumn("bin", slot.cast("int")).groupBy("bin").agg(F.sum("n").alias("n"))
+    placed = clipped.withColumn("bin", slot.cast("int")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return placed.select("bin", (lowest + F.col("bin") * width).alias("bin_low"),
                          (lowest + (F.col("bin") + 1) * width).alias("bin_high"), "n")
 

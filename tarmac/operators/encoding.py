@@ -36,9 +36,17 @@ def key_statistics(train: DataFrame, target: str = schema.TARGET,
     """
     if target != "ARR_DEL15":
         raise ValueError("history rates need the 0/1 target ARR_DEL15")
+    return _key_statistics(train, F.col(target), sources)
+
+
+def frequency_statistics(train: DataFrame, sources: Sequence[str] = tuple(schema.FREQUENCY_FEATURES)) -> DataFrame:
+    """``key_statistics`` for targets that have no history rates: no row is labelled."""
+    return _key_statistics(train, F.lit(None).cast("int"), sources)
+
+
+def _key_statistics(train: DataFrame, late: Column, sources: Sequence[str]) -> DataFrame:
     flown = delays.is_operated()
-    narrow = train.select(
-        *sources, flown.alias("_flown"), F.when(flown, F.col(target)).alias("_late"))
+    narrow = train.select(*sources, flown.alias("_flown"), F.when(flown, late).alias("_late"))
     long = narrow.unpivot(["_flown", "_late"], list(sources), "source", "key")
     return long.groupBy("source", "key").agg(
         F.count(F.lit(1)).alias("n_rows"),

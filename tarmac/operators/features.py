@@ -12,10 +12,16 @@ from tarmac import schema
 
 def track_table(encoded: DataFrame, track: str, target: str = schema.TARGET) -> DataFrame:
     """Rows with a known target, restricted to the track's features and the target."""
-    wanted = [c for c in schema.TRACKS[track] if c in encoded.columns]
+    wanted = [c for c in expected_features(track, target) if c in encoded.columns]
     return encoded.filter(F.col(target).isNotNull()).select(*wanted, target)
 
 
+def expected_features(track: str, target: str = schema.TARGET) -> list[str]:
+    """The track's features; history rates exist for the 0/1 target only."""
+    history = () if target == "ARR_DEL15" else schema.HISTORY_FEATURES.values()
+    return [c for c in schema.TRACKS[track] if c not in history]
+
+
 def split_name(years: Sequence[int] = schema.TRAIN_YEARS):
     return F.when(F.col("YEAR").isin(*years), F.lit("train")).otherwise(F.lit("test"))
 
@@ -44,7 +50,7 @@ def leakage_audit(tables: dict[str, DataFrame], target: str = schema.TARGET) ->
     rows = []
     for track, table in tables.items():
         leaked = set(leaked_columns(table.columns, track, target))
-        expected = {*schema.TRACKS[track], target}
+        expected = {*expected_features(track, target), target}
         for c in table.columns:
             rows.append((track, c, "leaked" if c in leaked else "ok" if c in expected else "extra"))
         rows += [(track, c, "missing") for c in sorted(expected - set(table.columns))]

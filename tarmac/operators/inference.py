@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac import schema
@@ -17,37 +17,39 @@ from tarmac.operators.ranks import running_totals
 from tarmac.session import materialise
 
 
-def chi_square(df: DataFrame, row: str = "YEAR", column: str = schema.TARGET,
-               rows: Sequence | None = (2021, 2025), levels: Sequence = (0, 1)) -> DataFrame:
+def chi_square(df: DataFrame, row: str = "YEAR", column: str = schema.TARGET, rows: Sequence | None = (2021, 2025)) -> DataFrame:
     """Independence test with Yates' correction at one degree of freedom, and Cramér's V.
 
-    The levels are spelled out so that an empty cell still adds its expected count.
+    Rows are reduced to counted pairs; margins are windows over these. A level seen in
+    no row is none of the table's. Pairs that never occur need no cell of their own:
+    all expected counts sum to n, so theirs are what the others leave.
     """
     if rows is not None:
         df = df.filter(F.col(row).isin(*rows))
-    table = materialise(
-        df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(F.col(row).alias("_row")).agg(
-            *[F.count_if(F.col(column) == level).alias(f"_{i}") for i, level in enumerate(levels)]))
-    names = [f"_{i}" for i in range(len(levels))]
-    margins = materialise(
-        table.agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum{c}") for c in names]))
-    margin = {c: margins.select(f"_sum{c}").scalar() for c in names}
-    n = margins.select(sum((F.col(f"_sum{c}") for c in names), F.lit(0))).scalar()
-    used = sum((F.when(margin[c] > 0, 1).otherwise(0) for c in names), F.lit(0))
-    n_rows = margins.select("_rows").scalar()
-    dof = (n_rows - 1) * (used - 1)
-    row_total = sum((F.col(c) for c in names), F.lit(0))
-    cells = 0
-    for c in names:
-        expected = row_total.cast("double") * margin[c] / n
-        gap = F.abs(F.col(c) - expected)
-        gap = F.when(dof == 1, F.greatest(gap - 0.5, F.lit(0.0))).otherwise(gap)
-        cells = cells + F.coalesce(F.try_divide(gap * gap, expected), F.lit(0.0))
-    result = table.select(cells.alias("_cell")).agg(F.sum("_cell").alias("chi2"))
-    result = result.select("chi2", dof.cast("int").alias("dof"), n.alias("n"),
-                           F.least(n_rows, used).alias("_smaller"))
+    pairs = (df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
+             .groupBy(F.col(row).alias("_row"), F.col(column).alias("_level")).agg(F.count(F.lit(1)).alias("_n")))
+    # few pairs, whatever the data; one task may hold them
+    whole = Window.partitionBy(F.lit(1))
+    cells = pairs.withColumns({
+        "_r": F.sum("_n").over(Window.partitionBy("_row")), "_c": F.sum("_n").over(Window.partitionBy("_level")),
+    }).withColumns({"_all": F.sum("_n").over(whole)})
+    expected = F.col("_r").cast("double") * F.col("_c") / F.col("_all")
+    gap = F.abs(F.col("_n") - expected)
+    one = cells.agg(
+        F.countDistinct("_row").alias("_rows"), F.countDistinct("_level").alias("_levels"), F.sum("_n").alias("n"),
+        F.count(F.lit(1)).alias("_cells"), F.sum(gap * gap / expected).alias("_plain"), F.sum(expected).alias("_expected"),
+        F.max(gap).alias("_gap"), F.min("_r").cast("double").alias("_r1"), F.min("_c").cast("double").alias("_c1"))
+    dof = (F.col("_rows") - 1) * (F.col("_levels") - 1)
+    absent = F.when(F.col("_cells") < F.col("_rows") * F.col("_levels"), F.col("n") - F.col("_expected")).otherwise(F.lit(0.0))
+    # of two rows and two levels every cell is off by the same
+    n = F.col("n").cast("double")
+    corrected = F.pow(F.greatest(F.col("_gap") - 0.5, F.lit(0.0)), 2) * n * n * n / (
+        F.col("_r1") * (n - F.col("_r1")) * F.col("_c1") * (n - F.col("_c1")))
+    chi2 = F.when(dof == 1, corrected).otherwise(F.col("_plain") + absent)
+    result = one.select(chi2.alias("chi2"), dof.cast("int").alias("dof"), F.when(F.col("_cells") > 0, F.col("n")).alias("n"),
+                        F.least("_rows", "_levels").alias("_smaller"))
     return result.select(
-        "chi2", "dof", "n", chi2_tail(F.col("chi2"), F.col("dof").cast("double")).alias("p_value"),
+        "chi2", "dof", "n", chi2_tail(F.col("chi2"), F.col("dof")).alias("p_value"),
         F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (F.col("_smaller") - 1))).alias("cramers_v"))
 
 
@@ -83,19 +85,28 @@ def kruskal_wallis(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR
     correction = 1 - tie_sum / (total * total * total - total)
     result = summed.select("k", total.cast("long").alias("n"), F.try_divide(plain, correction).alias("h"))
     return result.select(
-        "k", "n", "h", chi2_tail(F.col("h"), (F.col("k") - 1).cast("double")).alias("p_value"),
+        "k", "n", "h", chi2_tail(F.col("h"), (F.col("k") - 1).cast("int")).alias("p_value"),
         F.try_divide(F.col("h") - F.col("k") + 1, F.col("n") - F.col("k")).alias("epsilon_squared"))
 
 
-def dunn(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR_DELAY") -> DataFrame:
-    """Pairwise z of mean ranks. The result is the list of group pairs, one row each."""
+def dunn(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR_DELAY", control=None) -> DataFrame:
+    """Pairwise z of mean ranks, one row for each pair of groups.
+
+    All pairs are the test's own result, for a handful of groups; with ``control`` only
+    that group is compared with the others, by an equality join.
+    """
     levels, ties = rank_sums(df, group, value)
     total = ties.select(F.col("total").cast("double")).scalar()
     tie_sum = ties.select("tie_sum").scalar()
     means = materialise(levels.select("level", "n", (F.col("rank_sum") / F.col("n")).alias("mean_rank")))
     left = means.select(F.col("level").alias("level_a"), F.col("n").alias("_na"), F.col("mean_rank").alias("_ra"))
     right = means.select(F.col("level").alias("level_b"), F.col("n").alias("_nb"), F.col("mean_rank").alias("_rb"))
-    pairs = left.join(right, F.col("level_a") < F.col("level_b"))
+    if control is None:
+        pairs = left.join(right, F.col("level_a") < F.col("level_b"))
+    else:
+        against = left.filter(F.col("level_a") == control).withColumn("_one", F.lit(1))
+        others = right.filter(F.col("level_b") != control).withColumn("_one", F.lit(1))
+        pairs = others.join(F.broadcast(against), "_one")  # one row
     spread = total * (total + 1) / F.lit(12.0) - tie_sum / (F.lit(12.0) * (total - 1))
     z = (F.col("_ra") - F.col("_rb")) / F.sqrt(spread * (1 / F.col("_na") + 1 / F.col("_nb")))
     return pairs.select("level_a", "level_b", z.alias("z")).withColumn("p_value", two_sided_normal(F.col("z")))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tarmac import schema
 from tarmac.operators import metrics
 from tarmac.operators.ranks import quantiles
+from tarmac.session import materialise, shared_folder
 
 SEED = 42
 
@@ -97,12 +98,26 @@ def _estimator(recipe: Recipe, settings: Mapping[str, object], n: int) -> Estima
     return recipe.build(featuresCol=inputs, labelCol="label", weightCol="weight", **params)
 
 
+def fit_sample(rows: DataFrame, fit_rows: int) -> DataFrame:
+    """At most ``fit_rows`` rows, the same ones on each run: those with the smallest hashes of their cells."""
+    return materialise(rows.orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(fit_rows))
+
+
 def train_one(rows: DataFrame, features: Sequence[str], name: str, settings: Mapping[str, object] | None = None,
-              recipes: Mapping[str, Recipe] = RECIPES) -> PipelineModel:
-    """Fit one named classifier on ``feature_rows`` output. Give it a stored table."""
+              recipes: Mapping[str, Recipe] = RECIPES, fit_rows: int | None = None) -> PipelineModel:
+    """Fit one named classifier on ``feature_rows`` output. Give it a stored table.
+
+    ``fit_rows`` bounds the rows that are learnt from; without it all are. The many
+    rounds of boosting cut their lineage in the context's checkpoint folder.
+    """
     if name not in recipes:
         raise ValueError(f"unknown model {name!r}; available: {', '.join(recipes)}")
     recipe = recipes[name]
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(rows.sparkSession)}/tarmac-lineage")
+    if fit_rows is not None:
+        rows = fit_sample(rows, fit_rows)
     negatives, positives = class_sizes(rows, "label")
     w0, w1 = class_weights(negatives, positives, recipe.weighting)
     weighted = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(w1)).otherwise(F.lit(w0)))
@@ -114,7 +129,9 @@ def train_one(rows: DataFrame, features: Sequence[str], name: str, settings: Map
 
 
 def train_all(rows: DataFrame, features: Sequence[str], settings: Mapping[str, Mapping] | None = None,
-              recipes: Mapping[str, Recipe] = RECIPES) -> dict[str, PipelineModel]:
+              recipes: Mapping[str, Recipe] = RECIPES, fit_rows: int | None = None) -> dict[str, PipelineModel]:
+    if fit_rows is not None:
+        rows = fit_sample(rows, fit_rows)
     return {name: train_one(rows, features, name, (settings or {}).get(name), recipes) for name in recipes}
 
 

@@ -37,12 +37,18 @@ def keep_busiest(df: DataFrame, key: str, k: int) -> DataFrame:
     return df.join(F.broadcast(busiest(df, key, k)), key, "left_semi")
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, by: Sequence[str] | None = None) -> DataFrame:
+    """The first n rows in the order of ``by``, else of all columns, so that it does not change between runs."""
+    return df.orderBy(*(by or df.columns)).limit(n)
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """At most n rows, the same ones for the same data and seed."""
-    columns = [F.col(c) for c in df.columns]
-    hashed = df.withColumn("_draw", F.xxhash64(F.lit(seed), *columns))
-    return hashed.orderBy("_draw", *columns).limit(n).drop("_draw")
+    """At most n rows, the same ones for the same data and seed.
+
+    Equal rows are counted, and each copy is drawn by itself. A draw is the md5 of the
+    seed, the row's cells as text and the copy's number, joined by bars; unknown is ``\\N``.
+    """
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    drawn = copies.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), *cells, F.col("_copy").cast("string")).cast("binary")))
+    return drawn.orderBy("_draw", *df.columns).limit(n).select(*df.columns)

@@ -215,9 +215,3 @@ def key_figures(full: DataFrame) -> DataFrame:
         F.avg(F.when(flown, F.col("ARR_DELAY").cast("double"))).alias("avg_delay"),
         (F.avg("CANCELLED") * 100).alias("cancel_pct"),
     )
-
-
-def dominant_causes(op: DataFrame) -> DataFrame:
-    return op.filter(F.col("DOMINANT_DELAY_CAUSE").isNotNull()).groupBy("DOMINANT_DELAY_CAUSE").agg(
-        F.count(F.lit(1)).alias("n"))
-

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import schema
-from tarmac.operators import metrics, models
+from tarmac.operators import features, metrics, models
 from tarmac.session import materialise
 
 
@@ -50,16 +50,34 @@ def compare_tracks(a: DataFrame, b: DataFrame) -> DataFrame:
         *[(F.col(f"{m}_b") - F.col(f"{m}_a")).alias(f"{m}_gain") for m in measures])
 
 
+def evaluate_tracks(scored: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``full_evaluation`` of each track's scores, united with the track named, and both tracks side by side."""
+    parts = {track: full_evaluation(rows) for track, rows in scored.items()}
+    names = next(iter(parts.values()))
+    out = {name: reduce(DataFrame.unionByName, [p[name].withColumn("track", F.lit(t)) for t, p in parts.items()]) for name in names}
+    if {"A", "B"} <= set(parts):
+        out["tracks"] = compare_tracks(parts["A"]["comparison"], parts["B"]["comparison"])
+    return out
+
+
+def model_drift(model: PipelineModel, rows: DataFrame, wanted: Sequence[str], target: str = schema.TARGET) -> DataFrame:
+    """A fitted model's metrics by year over ``rows``, whose gaps get the median of their own year."""
+    filled = features.fill_by_year(rows.filter(F.col("YEAR").isNotNull()).select("YEAR", target, *[c for c in wanted if c != "YEAR"]), [c for c in wanted if c != "YEAR"])
+    ready = models.feature_rows(filled, wanted, dict.fromkeys(wanted, 0.0), target, keep=["YEAR"])
+    scored = materialise(models.score(model, ready).select(F.col("key_YEAR").alias("YEAR"), F.col("label").cast("int").alias("label"), "score", "predicted"))
+    return metrics.drift(scored, prediction="predicted")
+
+
 def train_and_score(train: DataFrame, test: DataFrame, track: str, settings: Mapping[str, Mapping] | None = None,
-                    target: str = schema.TARGET, names=None) -> tuple[dict[str, PipelineModel], DataFrame]:
+                    target: str = schema.TARGET, names=None, fit_rows: int | None = None) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit the track's models on ``train`` and score ``test``; gaps get training medians.
 
-    Both are read several times: give stored tables.
+    Both are read several times: give stored tables. ``fit_rows`` bounds the rows learnt from.
     """
-    features = list(schema.TRACKS[track])
-    medians = models.feature_medians(train, features)
-    fitted = materialise(models.feature_rows(train, features, medians, target, keep=["YEAR"]))
+    wanted = list(schema.TRACKS[track])
+    medians = models.feature_medians(train, wanted)
+    fitted = materialise(models.feature_rows(train, wanted, medians, target, keep=["YEAR"]))
     recipes = {n: r for n, r in models.RECIPES.items() if names is None or n in names}
-    trained = models.train_all(fitted, features, settings, recipes)
-    rows = materialise(models.feature_rows(test, features, medians, target, keep=["YEAR"]))
+    trained = models.train_all(fitted, wanted, settings, recipes, fit_rows)
+    rows = materialise(models.feature_rows(test, wanted, medians, target, keep=["YEAR"]))
     return trained, scored_by_model(trained, rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def tuned(spark: SparkSession):
+    """``tune`` for the work inside; the caller's own setting is put back."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    tune(spark)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def local_session(cpus: int | str = "*", app: str = "tarmac") -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
     partitions = "8" if cpus == "*" else str(cpus)

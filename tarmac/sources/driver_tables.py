@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The derivation, as published with the test data.
+# How flights are derived from the test tables. The SQL twins of the queries repeat it.
 _HASHES = {
     "h": "l_orderkey*31 + l_partkey*7 + l_suppkey*13 + l_linenumber*101"
          " + CAST(l_quantity AS BIGINT)*1009",

@@ -27,7 +27,8 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
 
 def save(train: DataFrame, folder: str, target: str, years: Sequence[int], fingerprint: str) -> None:
     """Fit and write the maps; the manifest goes last, so a half-written folder is not reused."""
-    write_table(encoding.key_statistics(train, target), f"{folder}/statistics")
+    statistics = encoding.key_statistics(train, target) if target == "ARR_DEL15" else encoding.frequency_statistics(train)
+    write_table(statistics, f"{folder}/statistics")
     row = train.sparkSession.range(1).select(
         F.lit(target).alias("target"), F.lit(_years(years)).alias("train_years"),
         F.lit(fingerprint).alias("inputs"), F.lit(True).alias("complete"))

@@ -18,44 +18,66 @@ from tarmac.functions import cells
 from tarmac.operators.cleaning import conform, normalise_names
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of one input (a file, folder or glob), as the readers would list them."""
+    conf = spark._jsc.hadoopConfiguration()
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(conf)
+    # Without a match of that very name there is no status at all.
+    waiting, found = list(system.globStatus(root) or []), []
+    while waiting:
+        status = waiting.pop()
+        if status.isDirectory():
+            waiting += [s for s in system.listStatus(status.getPath()) if not s.getPath().getName().startswith(("_", "."))]
+        elif status.getLen():
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one input (a file, folder or glob); one line is fetched."""
-    first = spark.read.text(path).filter("_metadata.file_block_start = 0").first()
-    if first is None:
-        raise ValueError(f"{path} is empty")
-    return tuple(next(csv.reader(io.StringIO(first["value"].lstrip("\ufeff")))))
+    """Column names of one file; its first line is read, by whatever file system and codec the name says."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    stream = name.getFileSystem(conf).open(name)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(name)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader(io.StringIO((line or "").lstrip("\ufeff"))), ()))
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Headers of all inputs; the one-line reads overlap."""
+    """Headers of all files of all inputs. A line per file, no Spark job; the reads overlap."""
     with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(paths, pool.map(lambda p: _header(spark, p), paths)))
-
+        listed = dict(zip(paths, pool.map(lambda p: _files(spark, p), paths)))
+        for path, files in listed.items():
+            if not files:
+                raise ValueError(f"{path} is empty")
+        files = list(dict.fromkeys(f for found in listed.values() for f in found))
+        return dict(zip(files, pool.map(lambda f: _header(spark, f), files)))
 
-def _text_schema(header: Sequence[str]) -> tuple[T.StructType, bool]:
-    """All columns as text, and whether every header cell is a usable name.
 
-    Blank or repeated header cells get a position name instead.
-    """
-    names, seen, clean = [], set(), True
+def _text_schema(header: Sequence[str]) -> T.StructType:
+    """All columns as text. Blank or repeated header cells get a position name instead."""
+    names, seen = [], set()
     for i, cell in enumerate(header):
         key = cell.strip().upper()
         if not key or key in seen:
-            cell, clean = f"UNNAMED_{i}", False
+            cell = f"UNNAMED_{i}"
         seen.add(key)
         names.append(cell)
-    return T.StructType([T.StructField(n, T.StringType()) for n in names]), clean
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 def _united(spark: SparkSession, headers: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One scan per layout; every file of a scan has just that header, so columns go by position safely."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for path, header in headers.items():
         groups[header].append(path)
-    parts = []
-    for header, members in groups.items():
-        layout, named = _text_schema(header)
-        reader = spark.read.schema(layout).option("header", True).option("enforceSchema", not named)
-        parts.append(normalise_names(reader.csv(members)))
+    parts = [normalise_names(spark.read.schema(_text_schema(header)).option("header", True).csv(members))
+             for header, members in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -66,9 +88,9 @@ def _without_tokens(df: DataFrame, tokens: Sequence[str], skip: frozenset[str] =
 def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = schema.NA_TOKENS) -> DataFrame:
     """All inputs as text columns with missing-value tokens as NULL.
 
-    Each input is a file, folder or glob whose files share one layout; the tasks
-    check every file's header against it. Inputs with equal headers are one scan;
-    differing layouts are united by name and the absent columns are NULL.
+    Each input is a file, folder or glob. Every file's own header says what its columns
+    are: files with equal headers are one scan; differing layouts are united by name
+    and the absent columns are NULL.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -78,7 +100,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str]
 
 def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema.TARGET,
                  na_tokens: Sequence[str] = schema.NA_TOKENS) -> DataFrame:
-    """Conformed records, after checking that every input has the required columns."""
+    """Conformed records, after checking that every file has the required columns."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if target not in schema.TARGETS:
         raise ValueError(f"target must be one of {schema.TARGETS}")
@@ -94,8 +116,3 @@ def read_records(spark: SparkSession, paths: Sequence[str], target: str = schema
     numbers = frozenset(f.name for f in schema.RAW_SCHEMA if isinstance(f.dataType, T.NumericType))
     return conform(_without_tokens(_united(spark, headers), na_tokens, numbers))
 
-
-def list_csv(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the CSV files directly in a folder, sorted; file names only, no content."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return sorted(r["path"] for r in files.select("path").collect())

@@ -25,7 +25,8 @@ def write_by_year(df: DataFrame, path: str, overwrite: bool = True, compact: boo
 
     Input files usually hold one year, so the write needs no shuffle. ``compact``
     adds a rebalance by year, which adaptive execution cuts into even files however
-    unequal the years are. Undated rows have no partition and are left out.
+    unequal the years are. Undated rows have no partition and are left out. Without
+    ``overwrite`` the years must be new: rows are never added to a year that is there.
     """
     dated = df.filter(F.col("YEAR").isNotNull())
     if compact:
@@ -34,6 +35,11 @@ def write_by_year(df: DataFrame, path: str, overwrite: bool = True, compact: boo
     if overwrite:
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     else:
+        years = [r["YEAR"] for r in dated.select("YEAR").distinct().collect()]  # one per year
+        if exists(df.sparkSession, path):
+            there = {r["YEAR"] for r in df.sparkSession.read.parquet(path).select("YEAR").distinct().collect()}
+            if repeated := sorted(there & set(years)):
+                raise ValueError(f"{path} already has YEAR {', '.join(map(str, repeated))}")
         writer.mode("append").parquet(path)
 
 

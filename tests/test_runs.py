@@ -1,5 +1,7 @@
 """Files in, tables out: sources, the full run, streaming, encodings and models."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,14 +42,30 @@ def test_csv_files_with_different_columns(spark, tmp_path):
     assert sorted(map(tuple, df.collect()), key=str) == sorted(
         [("2021", None, None), ("2022", "JFK", None), ("2023", None, None), (None, None, "LAX")], key=str)
     assert records.read_csv(spark, [a], na_tokens=("JFK",)).filter("ORIGIN = 'NA'").count() == 1
-    assert [p.rsplit("/", 1)[1] for p in records.list_csv(spark, str(tmp_path))] == ["a.csv", "b.csv"]
 
 
-def test_csv_with_a_differing_file_in_one_input_is_refused(spark, tmp_path):
-    write(tmp_path / "a.csv", "YEAR,ORIGIN\n2021,JFK\n")
-    write(tmp_path / "b.csv", "YEAR,DEST\n2021,LAX\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        records.read_csv(spark, [str(tmp_path)]).collect()
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "YEAR,ORIGIN,DEST,\n2021,JFK,LAX,\n")
+    write(tmp_path / "b.csv", "YEAR,DEST,ORIGIN,\n2022,SFO,BOS,\n")
+    write(tmp_path / "empty.csv", "")
+    write(tmp_path / "_hidden.csv", "X\n1\n")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as packed:
+        packed.write("ORIGIN,YEAR,ORIGIN\nORD,2023,x\n")
+    df = records.read_csv(spark, str(tmp_path))
+    assert sorted(map(tuple, df.select("YEAR", "ORIGIN", "DEST").collect())) == [("2021", "JFK", "LAX"), ("2022", "BOS", "SFO"), ("2023", "ORD", None)]
+    with pytest.raises(ValueError, match="nothing"):
+        records.read_csv(spark, str(tmp_path / "nothing*"))
+
+
+def test_stream_reads_every_file_by_its_own_header(spark, tmp_path, full):
+    text = frames.text_raw(spark, SF)
+    names = text.columns
+    for part, columns in (("2021", names), ("2022", names[::-1])):
+        lines = [",".join([*columns, ""])] + [",".join(str(r[c] if r[c] is not None else "") for c in columns) + "," for r in text.filter(F.col("YEAR") == part).limit(50).collect()]
+        write(tmp_path / f"{part}.csv", "\n".join(lines) + "\n")
+    ingest(spark, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).groupBy("YEAR").agg(F.count_if(F.col("ORIGIN").rlike("^[A-Z]")).alias("n"), F.count("ROUTE").alias("routes"))
+    assert sorted(map(tuple, got.collect())) == [(2021, 50, 50), (2022, 50, 50)]
 
 
 def test_required_columns_on_every_input(spark, inputs, tmp_path):
@@ -87,10 +105,41 @@ def test_only_touched_years_are_replaced(spark, tmp_path):
     tables.write_by_year(spark.createDataFrame([(2021, 1), (2022, 2), (None, 9)], "YEAR int, v int"), path)
     tables.write_by_year(spark.createDataFrame([(2022, 5)], "YEAR int, v int"), path, compact=True)
     assert sorted(map(tuple, tables.read_table(spark, path, ["YEAR", "v"]).collect())) == [(2021, 1), (2022, 5)]
-    tables.write_by_year(spark.createDataFrame([(2022, 6)], "YEAR int, v int"), path, overwrite=False)
+    tables.write_by_year(spark.createDataFrame([(2023, 6)], "YEAR int, v int"), path, overwrite=False)
+    with pytest.raises(ValueError, match="2023"):
+        tables.write_by_year(spark.createDataFrame([(2023, 6), (2024, 1)], "YEAR int, v int"), path, overwrite=False)
     assert tables.read_table(spark, path).count() == 3
 
 
+def test_reruns_leave_other_years_out(spark, inputs, tmp_path):
+    folder = str(tmp_path / "run")
+    first = prepare(spark, inputs[:2], folder)
+    rows = sorted(map(tuple, first.encodings().statistics.collect()), key=str)
+    prepare(spark, inputs[2], folder)  # one path, not a list
+    again = prepare(spark, inputs[:2], folder)
+    assert sorted(map(tuple, again.encodings().statistics.collect()), key=str) == rows
+    assert {r.YEAR for r in again.table("ml_track_b").select("YEAR").distinct().collect()} == {2021, 2022}
+    assert {r.YEAR for r in again.table("clean_full").select("YEAR").distinct().collect()} == {2021, 2022, 2023}
+
+
+def test_the_other_target_gets_maps_and_tracks(spark, inputs, tmp_path):
+    run = prepare(spark, inputs[:1], str(tmp_path / "run"), target="ARR_DELAY_NEW", train_years=(2021,))
+    run.accept(years=[2021])
+    columns = set(run.table("ml_track_a").columns)
+    assert {"ORIGIN_FREQ", "ROUTE_FREQ", "ARR_DELAY_NEW"} <= columns and not columns & {"ORIGIN_HIST_OTP", "CARRIER_HIST_OTP", "ARR_DEL15"}
+
+
+def test_settings_of_the_caller_stay(spark, inputs, tmp_path):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "12345")
+    try:
+        prepare(spark, inputs[:1], str(tmp_path / "run"))
+        assert spark.conf.get(key) == "12345"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_year_filter_prunes_partitions(run):
     plan = run.table("clean_operated").filter("YEAR = 2025").select("ORIGIN", "ARR_DEL15")
     text = plan._jdf.queryExecution().executedPlan().toString()
@@ -156,10 +205,9 @@ def test_median_fill(spark):
 
 def test_stream_equals_batch_and_runs_twice(spark, inputs, tmp_path, full):
     root = inputs[0].rsplit("/", 1)[0]
-    header = frames.raw(spark, SF).columns
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     for _ in range(2):  # the second pass finds nothing new
-        ingest(spark, f"{root}/_year=*", header, out, checkpoint, max_files=2).awaitTermination()
+        ingest(spark, f"{root}/_year=*", out, checkpoint, max_files=2).awaitTermination()
     got = spark.read.parquet(out)
     columns = ["YEAR", "DAY_OF_WEEK", "ROUTE", "CRS_DEP_TIME_MIN", "ARR_DELAY_CAT", "DOMINANT_DELAY_CAUSE", "ARR_DELAY"]
     assert got.count() == full.count()

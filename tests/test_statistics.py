@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.functions.tails import _chi2_tail
+from tarmac.functions.tails import chi2_tail, two_sided_normal
 from tarmac.operators import distributions, encoding, inference, metrics, ordering, quality, ranks, summaries
 
 
@@ -116,8 +116,40 @@ def test_chi_square_yates(spark):
 
 @pytest.mark.parametrize("x, df, want", [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05),
                                          (18.307038053275146, 10, 0.05), (28.869299430392623, 18, 0.05), (1.0, 4, 0.9097959895689501)])
-def test_chi_square_tail(x, df, want):
-    assert _chi2_tail(x, df) == pytest.approx(want, rel=1e-9)
+def test_chi_square_tail(spark, x, df, want):
+    assert spark.range(1).select(chi2_tail(F.lit(x), F.lit(df))).first()[0] == pytest.approx(want, rel=1e-9)
+
+
+def test_tails_at_their_ends(spark):
+    rows = [(0.0, 3), (-1.0, 4), (None, 2), (float("nan"), 2), (5.0, 0), (2000.0, 6), (1200.0, 1201), (1.0, 1), (4.0, 1), (9.0, 3)]
+    got = [r[0] for r in spark.createDataFrame(rows, "x double, k int").coalesce(1).select(chi2_tail(F.col("x"), F.col("k"))).collect()]
+    assert got[:6] == [1.0, 1.0, None, None, None, 0.0] and 0.49 < got[6] < 0.51
+    assert got[7:] == pytest.approx([math.erfc(math.sqrt(0.5)), math.erfc(math.sqrt(2)), math.erfc(math.sqrt(4.5)) + math.sqrt(18 / math.pi) * math.exp(-4.5)], rel=1e-12)
+    z = [0.0, -0.3, 1.96, 2.9, -8.0, 30.0]
+    got = spark.createDataFrame([(v,) for v in z], "z double").coalesce(1).select(two_sided_normal(F.col("z"))).collect()
+    assert [r[0] for r in got] == pytest.approx([math.erfc(abs(v) / math.sqrt(2)) for v in z], rel=1e-11)
+
+
+def test_chi_square_counts_the_levels_it_finds(spark):
+    rows = [(2021, 0)] * 3 + [(2021, 2)] * 2 + [(2025, 1)] * 2
+    got = inference.chi_square(spark.createDataFrame(rows, "YEAR int, ARR_DEL15 int")).first()
+    assert (got.n, got.dof) == (7, 2) and got.chi2 == pytest.approx(7) and got.p_value == pytest.approx(math.exp(-3.5))
+
+
+def test_no_python_in_test_plans(spark, op):
+    for df in (inference.chi_square(op), inference.kruskal_wallis(op), inference.dunn(op)):
+        assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_scan(op):
+    for df in (distributions.correlation_matrix(op), quality.quality_table(op)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_sample_draws_single_copies(spark):
+    df = spark.createDataFrame([(k % 3,) for k in range(900)], "v int")
+    drawn = ordering.seeded_sample(df, 90).groupBy("v").count().collect()
+    assert sum(r["count"] for r in drawn) == 90 and all(r["count"] > 10 for r in drawn)
 
 
 def average_ranks(values):
@@ -158,7 +190,7 @@ def test_effect_sizes(spark, numbers):
 
 def test_correlation_ignores_incomplete_pairs(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.5, None), (3.0, None, 1.0), (4.0, 8.0, 2.0), (5.0, 9.0, 2.5)], "a double, b double, c double")
-    got = {(r.x, r.y): r.r for r in distributions.correlation_matrix(df, ["a", "b", "c"], 2).collect()}
+    got = {(r.x, r.y): r.r for r in distributions.correlation_matrix(df, ["a", "b", "c"]).collect()}
     assert len(got) == 9 and got["a", "a"] == 1
     assert got["a", "b"] == got["b", "a"] == pytest.approx(np.corrcoef([1, 2, 4, 5], [2, 4.5, 8, 9])[0, 1])
     assert got["b", "c"] == pytest.approx(np.corrcoef([2, 8, 9], [5, 2, 2.5])[0, 1])
