@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarmac.session import materialise, shared_folder
 
-__all__ = ["components", "fold_of", "logistic", "materialise", "pieces", "shared_folder", "table", "utf8"]
+__all__ = ["components", "fold_of", "identified", "logistic", "materialise", "pieces", "shared_folder", "table", "utf8"]
 
 #: Bytes of one piece of a text that a task turns into Python objects at a time.
 PIECE = 1 << 20
@@ -27,6 +27,11 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_did`` and ``_th``: the doc_id, null last, and a hash of the text. Rows alike in both are one text under one id."""
+    return docs.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "_th": F.xxhash64(utf8(F.col("text")))})
+
+
 def fold_of(key: Column, folds: int) -> Column:
     """crc32 of the key's decimal text, modulo ``folds``; a null key is in no fold."""
     return F.crc32(key.cast("string").cast("binary")) % folds

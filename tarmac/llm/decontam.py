@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import materialise, pieces, utf8
+from tarmac.llm.common import identified, materialise, pieces, utf8
 
 SEED = 5
 THRESHOLD = 0.8
@@ -139,13 +139,8 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "item_id long, tokens array<long>, seeds array<long>").where("size(tokens) > 0").distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, item_id, marked, item_tokens, coverage) of each item of which tiles mark at least ``threshold`` in a document.
-
-    Null and empty texts match nothing. Documents that share a doc_id are each tried
-    and the best coverage counts; a null doc_id is reported as null. Items shorter than
-    five tokens must occur whole. An empty table on either side gives an empty result.
-    """
+def _tiled(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
+    """(_did, _th, doc_id, item_id, marked, item_tokens) of each pair of a document's row and an item that reaches ``threshold``."""
     items = materialise(items_of(benchmark))
     bitmap = _bitmap(items)
     shortest = [r[0] for r in items.select(F.least(F.size("tokens"), F.lit(SEED))).distinct().collect()]  # at most five lengths
@@ -153,7 +148,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, list[int], list[int]]] = []
-            for row, text in enumerate(batch.column(1)):
+            for row, text in enumerate(batch.column(3)):
                 hashed = tokens(text.as_buffer().to_pybytes())
                 held, grams = np.zeros(len(hashed), bool), []
                 for n in shortest:
@@ -169,14 +164,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                     kept = np.flatnonzero(held)
                     spaced = np.insert(hashed[kept], np.searchsorted(kept, edge), -1)
                     out.append((row, spaced.tolist(), np.unique(np.concatenate(grams)).tolist()))
-            picked = batch.column(0).take(pa.array([o[0] for o in out], pa.int64()))
+            picked = batch.select([0, 1, 2]).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [picked, pa.array([o[1] for o in out], pa.list_(pa.int64())), pa.array([o[2] for o in out], pa.list_(pa.int64()))],
-                ["doc_id", "run", "seeds"])
+                [*picked.columns, pa.array([o[1] for o in out], pa.list_(pa.int64())), pa.array([o[2] for o in out], pa.list_(pa.int64()))],
+                ["_did", "_th", "doc_id", "run", "seeds"])
 
-    read = docs.select(F.col("doc_id").cast("long"), utf8(F.col("text")).alias("b"))
-    runs = read.mapInArrow(run, "doc_id long, run array<long>, seeds array<long>").withColumn("row", F.monotonically_increasing_id())
-    runs = materialise(runs)
+    read = identified(docs).select("_did", "_th", F.col("doc_id").cast("long"), utf8(F.col("text")).alias("b"))
+    runs = read.mapInArrow(run, "_did long, _th long, doc_id long, run array<long>, seeds array<long>")
+    runs = materialise(runs.withColumn("row", F.monotonically_increasing_id()))
     # seeds that a document must share with an item: tiles of five tokens or more that cover the threshold
     wanted = items.select("item_id", F.size("tokens").alias("n"), F.posexplode("seeds").alias("at", "h"))
     shared = runs.select("row", F.explode("seeds").alias("h")).join(wanted, "h").groupBy("row", "item_id", "n").agg(F.count("*").alias("shared"))
@@ -184,11 +179,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marked = [tile(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            n = [len(a) for a in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(marked, pa.int32()), pa.array(n, pa.int32())], ["doc_id", "item_id", "marked", "item_tokens"])
-
-    sides = pairs.join(runs.select("row", "doc_id", "run"), "row").join(items.select("item_id", "tokens"), "item_id")
-    found = sides.select("doc_id", "item_id", "tokens", "run").mapInArrow(tiled, "doc_id long, item_id long, marked int, item_tokens int")
-    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("marked", "item_tokens")).alias("best")).select("doc_id", "item_id", "best.*")
-    return best.withColumn("coverage", F.col("marked") / F.col("item_tokens")).where(F.col("coverage") >= threshold)
+            marked = [tile(np.array(a, np.int64), np.array(b, np.int64)) for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+            n = [len(a) for a in batch.column(4)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(marked, pa.int32()), pa.array(n, pa.int32())], ["_did", "_th", "doc_id", "item_id", "marked", "item_tokens"])
+
+    sides = pairs.join(runs.drop("seeds"), "row").join(items.select("item_id", "tokens"), "item_id")
+    found = sides.select("_did", "_th", "doc_id", "item_id", "tokens", "run").mapInArrow(
+        tiled, "_did long, _th long, doc_id long, item_id long, marked int, item_tokens int")
+    return found.where(F.col("marked") >= F.col("item_tokens") * threshold)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, item_id, marked, item_tokens, coverage) of each item of which tiles mark at least ``threshold`` in a document.
+
+    Null and empty texts match nothing. Documents that share a doc_id are each tried
+    and the best coverage counts; a null doc_id is reported as null. Items shorter than
+    five tokens must occur whole. An empty table on either side gives an empty result.
+    """
+    best = _tiled(docs, benchmark, threshold).groupBy("doc_id", "item_id").agg(F.max(F.struct("marked", "item_tokens")).alias("best"))
+    return best.select("doc_id", "item_id", "best.*").withColumn("coverage", F.col("marked") / F.col("item_tokens"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that hold an item; all columns stay."""
+    found = _tiled(docs, benchmark, threshold).select("_did", "_th").distinct()
+    return identified(docs).join(found, ["_did", "_th"], "left_anti").select(docs.columns)

@@ -272,7 +272,7 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, redacted string"
+_FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
 
 def train(docs: DataFrame, rows: int = 4000, max_bytes: int = 65_536) -> Model:
@@ -284,26 +284,38 @@ def train(docs: DataFrame, rows: int = 4000, max_bytes: int = 65_536) -> Model:
     return fit(sorted(r.text for r in found))
 
 
-def find(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
-    """``docs`` with counts of the patterns' matches, their digest, all spans, and (``keep_text``) the redacted text.
+def _all_spans(texts: list[str], model: Model) -> tuple[list[list[Span]], list[list[Span]]]:
+    bases = [base_spans(t) for t in texts]
+    return bases, [b + more for b, more in zip(bases, added_spans(texts, bases, model), strict=True)]
+
+
+def find(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with counts of the patterns' matches, the digest of these, and all spans.
 
     Null and empty texts have no spans. Columns of ``docs`` with the names of the result
     are replaced; rows stay, repeated ones too.
     """
+    names = [c.split()[0] for c in _FOUND.split(", ")]
+
     @F.pandas_udf(_FOUND)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = list(batch)
-            bases = [base_spans(t) for t in texts]
-            more = added_spans(texts, bases, model)
             rows = []
-            for text, base, added in zip(texts, bases, more, strict=True):
+            for base, spans in zip(*_all_spans(list(batch), model), strict=True):
                 counts = [sum(k == kind for k, _, _ in base) for kind in range(len(KINDS))]
-                rows.append((*counts, digest(written(base).encode()), written(base + added), redacted(text, base + added) if keep_text else None))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _FOUND.split(", ")])
+                rows.append((*counts, digest(written(base).encode()), written(spans)))
+            yield pd.DataFrame(rows, columns=names)
 
-    names = [c.split()[0] for c in _FOUND.split(", ")][:None if keep_text else -1]
-    kept = [c for c in docs.columns if c not in names]
-    # the struct is made once, and its fields read from it
     held = docs.withColumn("_found", found(F.coalesce("text", F.lit(""))))
-    return held.select(*[held[c] for c in kept], *[F.col(f"_found.{n}").alias(n) for n in names])
+    return held.select(*[c for c in docs.columns if c not in names], *[F.col(f"_found.{n}").alias(n) for n in names])
+
+
+def redact(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by its kind in brackets; a null text stays null."""
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = list(batch)
+            yield pd.Series([redacted(t, s) for t, s in zip(texts, _all_spans(texts, model)[1], strict=True)], dtype="object")
+
+    return docs.withColumn("text", F.when(F.col("text").isNotNull(), clean(F.coalesce("text", F.lit("")))))

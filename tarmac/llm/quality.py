@@ -135,17 +135,17 @@ def score_text(text: bytes, model: Model) -> float:
     return sigmoid(sum(w * x for w, x in zip(model.curve, (*_features(text, model.good, model.bad), 1.0), strict=True)))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``score`` from 0 to 1 over whole texts; a null text counts as empty.
+def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
+    """``docs`` with a column ``into`` from 0 to 1 over whole texts; a null text counts as empty.
 
-    All columns and rows stay, repeated rows too; a column already named ``score`` is replaced.
+    All columns and rows stay, repeated rows too; a column already named so is replaced.
     """
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([score_text(bytes(t), model) for t in texts], dtype="float64")
 
-    return docs.withColumn("score", scored(utf8(F.col("text"))))
+    return docs.withColumn(into, scored(utf8(F.col("text"))))
 
 
 def train(docs: DataFrame, labels: DataFrame, keep, per_class: int = 2000, max_bytes: int = 65_536) -> Model:

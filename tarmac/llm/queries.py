@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import ann, decontam, mixing, pii, quality, simhash, toxicity, urlgraph, warc
+from tarmac.llm import ann, decontam, mixing, pii, quality, simhash, suffixes, toxicity, urlgraph, warc
 from tarmac.llm.common import fold_of, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op10_tiling(spark: SparkSession, folder: str) -> DataFrame:
 def op7_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pii.find(docs, pii.train(docs)).drop("text")
+
+
+@query
+def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, folder, "documents"))

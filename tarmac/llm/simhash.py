@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import components, materialise, pieces, utf8
+from tarmac.llm.common import components, identified, materialise, pieces, utf8
 
 SHINGLE = 3
 BITS = 3
@@ -62,14 +62,17 @@ def fingerprint(text: bytes) -> int:
     return int.from_bytes(np.packbits(tally * 2 > n).tobytes(), "big")
 
 
+_PRINTS = "doc_id long, _did long, _th long, fp long"
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) per row, fp as a signed long. Null and empty texts get zero."""
+    """(doc_id, _did, _th, fp) per row: the row's identity and its fingerprint as a signed long. Null and empty texts get zero."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_buffer().to_pybytes()) for t in batch.column(3)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps.view(np.int64))], [c.split()[0] for c in _PRINTS.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), utf8(F.col("text")).alias("b")).mapInArrow(run, "doc_id long, fp long")
+    return identified(docs).select(F.col("doc_id").cast("long"), "_did", "_th", utf8(F.col("text")).alias("b")).mapInArrow(run, _PRINTS)
 
 
 def _forest(left: np.ndarray, right: np.ndarray | None) -> list[tuple[int, int]]:
@@ -129,19 +132,33 @@ def links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def _grouped(prints: DataFrame) -> DataFrame:
+    """(fp, component, least): each distinct fingerprint, the fingerprint that names its component, and its smallest doc_id."""
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    found = components(links(distinct.select("fp")))
+    return materialise(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), "least"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that links reach.
 
     Equal fingerprints are always linked; texts without words have fingerprint zero
-    and are linked like any other. Repeated rows stay; a null doc_id stays null and names no component
-    unless its component has no other. An empty table gives an empty result.
+    and are linked like any other. Repeated rows stay. A row without a doc_id is linked too; only a
+    component of such rows has a null component_id. An empty table gives an empty result.
     """
     prints = materialise(fingerprints(docs))
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(distinct.select("fp")))
-    grouped = materialise(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")))
+    grouped = _grouped(prints)
     names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     named = grouped.join(names, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (null last), of several texts under it
+    the one with the smallest hash, and of rows alike one. All columns stay."""
+    prints = materialise(fingerprints(docs))
+    chosen = prints.join(_grouped(prints), "fp").groupBy("component").agg(F.min(F.struct("_did", "_th")).alias("row")).select("row.*")
+    rows = identified(docs).join(chosen, ["_did", "_th"])
+    first = F.row_number().over(Window.partitionBy("_did", "_th").orderBy(F.lit(0)))
+    return rows.withColumn("_row", first).where("_row = 1").select(docs.columns)

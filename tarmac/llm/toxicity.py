@@ -154,10 +154,10 @@ def fit(labelled: Sample, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     return Lexicon(lexicon(tallies), (float(a), float(b) + math.log(labelled.odds)), exceptions)
 
 
-def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with ``score`` from 0 to 1 over whole texts; a null or empty text has no hits.
+def score(docs: DataFrame, lexicon: Lexicon, into: str = "score") -> DataFrame:
+    """``docs`` with a column ``into`` from 0 to 1 over whole texts; a null or empty text has no hits.
 
-    All columns and rows stay, repeated rows too; a column already named ``score`` is replaced.
+    All columns and rows stay, repeated rows too; a column already named so is replaced.
     """
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -165,7 +165,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         for texts in batches:
             yield pd.Series([sigmoid(a * strength(fold(t), lexicon.weights, lexicon.exceptions) + b) for t in texts], dtype="float64")
 
-    return docs.withColumn("score", scored(F.coalesce("text", F.lit(""))))
+    return docs.withColumn(into, scored(F.coalesce("text", F.lit(""))))
 
 
 def train(docs: DataFrame, labels: DataFrame, keep, per_class: int = 3000, max_bytes: int = 65_536) -> Lexicon:
