@@ -141,7 +141,7 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 def _tiled(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame:
     """(_did, _th, doc_id, item_id, marked, item_tokens) of each pair of a document's row and an item that reaches ``threshold``."""
-    items = materialise(items_of(benchmark))
+    items = materialise(items_of(benchmark).withColumn("item", F.monotonically_increasing_id()))
     bitmap = _bitmap(items)
     shortest = [r[0] for r in items.select(F.least(F.size("tokens"), F.lit(SEED))).distinct().collect()]  # at most five lengths
 
@@ -173,8 +173,8 @@ def _tiled(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame
     runs = read.mapInArrow(run, "_did long, _th long, doc_id long, run array<long>, seeds array<long>")
     runs = materialise(runs.withColumn("row", F.monotonically_increasing_id()))
     # seeds that a document must share with an item: tiles of five tokens or more that cover the threshold
-    wanted = items.select("item_id", F.size("tokens").alias("n"), F.posexplode("seeds").alias("at", "h"))
-    shared = runs.select("row", F.explode("seeds").alias("h")).join(wanted, "h").groupBy("row", "item_id", "n").agg(F.count("*").alias("shared"))
+    wanted = items.select("item", F.size("tokens").alias("n"), F.posexplode("seeds").alias("at", "h"))
+    shared = runs.select("row", F.explode("seeds").alias("h")).join(wanted, "h").groupBy("row", "item", "n").agg(F.count("*").alias("shared"))
     pairs = shared.where(F.col("shared") >= F.ceil(F.col("n") * threshold / SEED))
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +184,7 @@ def _tiled(docs: DataFrame, benchmark: DataFrame, threshold: float) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(marked, pa.int32()), pa.array(n, pa.int32())], ["_did", "_th", "doc_id", "item_id", "marked", "item_tokens"])
 
-    sides = pairs.join(runs.drop("seeds"), "row").join(items.select("item_id", "tokens"), "item_id")
+    sides = pairs.join(runs.drop("seeds"), "row").join(items.select("item", "item_id", "tokens"), "item")
     found = sides.select("_did", "_th", "doc_id", "item_id", "tokens", "run").mapInArrow(
         tiled, "_did long, _th long, doc_id long, item_id long, marked int, item_tokens int")
     return found.where(F.col("marked") >= F.col("item_tokens") * threshold)

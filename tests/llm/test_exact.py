@@ -200,8 +200,8 @@ def test_rules_and_urls(spark):
     rows = {r.page_id: r for r in urlgraph.judge(pages, queries.RULES, rounds=1).collect()}
     assert [(rows[k].host, rows[k].path, rows[k].rule, rows[k].verdict) for k in range(len(urls))] == [
         ("a.net", "/x", "net/", "block"), ("b.example.net", "/en/1", "example.net/en/", "allow"), ("example.com", "/de/", "example.com/de/", "block"),
-        ("xexample.com", "/de/", None, "allow"), ("x.org", "/fr/a", "org/fr/", "allow"), ("net", "", None, "block"), ("", "", None, "allow"),
-        ("", "", None, "allow"), ("h.com", "", None, "allow"), ("ex.com:80", "/p://q", None, "allow")] or rows[5].verdict == "allow"
+        ("xexample.com", "/de/", None, "allow"), ("x.org", "/fr/a", "org/fr/", "allow"), ("net", "", None, "allow"), ("", "", None, "allow"),
+        ("", "", None, "allow"), ("h.com", "", None, "allow"), ("ex.com:80", "/p://q", None, "allow")]
 
 
 def test_hosts_that_link_to_blocked_ones_are_blocked(spark):
