@@ -493,3 +493,38 @@ _SIDE = """SELECT (SELECT avg(CASE WHEN (score > 0.5) = (label = 1) THEN 1.0 ELS
 ORACLES["j06_fixed_scores"] = f"""SELECT 'fixed' AS model, round(a.accuracy, 6) AS accuracy_a, round(b.accuracy, 6) AS accuracy_b,
  round(a.roc_auc, 6) AS roc_auc_a, round(b.roc_auc, 6) AS roc_auc_b, round(b.roc_auc - a.roc_auc, 6) AS roc_auc_gain
  FROM ({_q(_TIED + _curve(), _SIDE.format(auc=_AUC))}) a, ({_q(_SCORED + _curve(), _SIDE.format(auc=_AUC))}) b"""
+
+
+def _clock(m: str) -> str:
+    return f"lpad(CAST({m} + 40 * ({m} // 60) AS VARCHAR), 4, '0')"
+
+
+_WIDE = RAW.removesuffix("\n FROM c)") + f""",
+  {_clock('((m + h % 60) % 1440)')} AS DEP_TIME, {_clock('((m + h % 60 + 8 + l_partkey % 35) % 1440)')} AS WHEELS_OFF,
+  {_clock('((am + h % 50 + 1435) % 1440)')} AS WHEELS_ON, CASE WHEN h % 401 = 0 THEN '2400' ELSE {_clock('((am + h % 50) % 1440)')} END AS ARR_TIME,
+  CASE WHEN h % 17 = 0 THEN {_clock('m')} END AS FIRST_DEP_TIME, CAST(h % 15 - 2 AS INT) AS DEP_DELAY_GROUP, CAST(h % 14 - 2 AS INT) AS ARR_DELAY_GROUP,
+  CASE WHEN am < 360 THEN '0001-0559' ELSE lpad(CAST(am // 60 AS VARCHAR), 2, '0') || 'XX' END AS ARR_TIME_BLK,
+  CAST(e + h % 21 - 10 AS DOUBLE) AS ACTUAL_ELAPSED_TIME, CASE WHEN h % 17 = 0 THEN CAST(h % 40 AS DOUBLE) END AS TOTAL_ADD_GTIME,
+  CASE WHEN h % 17 = 0 THEN CAST(h % 30 AS DOUBLE) END AS LONGEST_ADD_GTIME, CAST(h % 3 AS INT) AS DIV_AIRPORT_LANDINGS,
+  CASE WHEN h % 19 = 0 THEN CAST(h % 2 AS INT) END AS DIV_REACHED_DEST, CASE WHEN h % 19 = 0 THEN CAST(e + 100 AS DOUBLE) END AS DIV_ACTUAL_ELAPSED_TIME,
+  CASE WHEN h % 19 = 0 THEN CAST(a + 60 AS DOUBLE) END AS DIV_ARR_DELAY, CASE WHEN h % 19 = 0 THEN CAST(h % 300 AS DOUBLE) END AS DIV_DISTANCE
+ FROM c)"""
+_BLANK_IF_CANCELLED = """DEP_TIME ARR_TIME WHEELS_OFF WHEELS_ON TAXI_OUT TAXI_IN ACTUAL_ELAPSED_TIME AIR_TIME DEP_DELAY DEP_DELAY_NEW DEP_DEL15
+ DEP_DELAY_GROUP ARR_DELAY ARR_DELAY_NEW ARR_DEL15 ARR_DELAY_GROUP CARRIER_DELAY WEATHER_DELAY NAS_DELAY SECURITY_DELAY LATE_AIRCRAFT_DELAY
+ FIRST_DEP_TIME TOTAL_ADD_GTIME LONGEST_ADD_GTIME DIV_AIRPORT_LANDINGS DIV_REACHED_DEST DIV_ACTUAL_ELAPSED_TIME DIV_ARR_DELAY DIV_DISTANCE""".split()
+_BLANK_IF_DIVERTED = "ARR_TIME ARR_DELAY ARR_DELAY_NEW ARR_DEL15 ARR_DELAY_GROUP ARR_TIME_BLK WHEELS_ON TAXI_IN".split()
+_CLOCKS = "CRS_DEP_TIME DEP_TIME WHEELS_OFF WHEELS_ON CRS_ARR_TIME ARR_TIME FIRST_DEP_TIME".split()
+_LOST = {c: [f for f, blanks in (("CANCELLED", _BLANK_IF_CANCELLED), ("DIVERTED", _BLANK_IF_DIVERTED)) if c in blanks] for c in _CLOCKS}
+
+
+def _unless(flag: str, columns) -> str:
+    return ", ".join(f"CASE WHEN {flag} = 1 THEN NULL ELSE {c} END AS {c}" for c in columns)
+
+
+ORACLES |= {
+    "p01_every_column": _q(_WIDE, f"SELECT {_KEY}, CANCELLED, {_unless('CANCELLED', _BLANK_IF_CANCELLED)} FROM raw"),
+    "p02_every_column": _q(_WIDE, f"SELECT {_KEY}, DIVERTED, {_unless('DIVERTED', _BLANK_IF_DIVERTED)} FROM raw"),
+    "p03_every_clock": _q(_WIDE, f"SELECT {_KEY}, {', '.join(f'{_minutes(c)} AS {c}_MIN' for c in _CLOCKS)} FROM raw"),
+    "p04_every_clock": _q(_WIDE, " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(v) AS parsed, count(*) - count(v) AS na FROM (SELECT CASE WHEN {' OR '.join([f + ' = 1' for f in _LOST[c]] or ['false'])} THEN NULL ELSE {_minutes(c)} END AS v FROM raw)""" for c in _CLOCKS)),
+}

@@ -19,6 +19,7 @@ from tarmac.plans.prepare import prepare
 from tarmac.session import materialise, shared_folder, tune
 from tarmac.sources import mappings, records, tables
 from tarmac.sources import models as model_store
+from tarmac.sources.driver_tables import raw_flights
 from tarmac.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +126,29 @@ def _(spark, folder):
     return df.select(*KEY, "CANCELLED", "CANCELLATION_CODE", "DEP_TIME_BLK", *_MASKED)
 
 
+@query("p01_every_column")
+def _(spark, folder):
+    df = cleaning.blank_cancelled(cleaning.conform(raw_flights(spark, folder, wide=True)))
+    return df.select(*KEY, "CANCELLED", *schema.CANCELLED_BLANKS, *[c for c in df.columns if c.startswith("DIV_")])
+
+
+@query("p02_every_column")
+def _(spark, folder):
+    df = cleaning.blank_diverted(cleaning.conform(raw_flights(spark, folder, wide=True)))
+    return df.select(*KEY, "DIVERTED", *schema.DIVERTED_BLANKS)
+
+
+@query("p03_every_clock")
+def _(spark, folder):
+    df = cleaning.add_clock_minutes(cleaning.conform(raw_flights(spark, folder, wide=True)))
+    return df.select(*KEY, *[f"{c}_MIN" for c in schema.CLOCK_COLUMNS])
+
+
+@query("p04_every_clock")
+def _(spark, folder):
+    return quality.clock_statistics(cleaning.clean(raw_flights(spark, folder, wide=True)))
+
+
 @query("p02_diverted_blank")
 def _(spark, folder):
     df = cleaning.blank_diverted(cleaning.conform(raw(spark, folder)))
