@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import StandardScalerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.operators import metrics, models
@@ -16,51 +18,82 @@ from tarmac.operators.ordering import seeded_sample, top_k
 from tarmac.session import materialise
 
 
+#: Where the factors of shuffles start; their products with row numbers below 2**32 fit a long.
+_PRIME = 2_147_483_629
+
+
+def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Stored rows with dense numbers ``_i`` from 0, and how many there are; only counts per partition meet."""
+    base = materialise(rows.withColumn("_id", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = base.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0))
+    starts = materialise(counts.select("_part", (upto - F.col("_n")).alias("_start"), "_n"))
+    total = starts.agg(F.sum("_n")).first()[0] or 0  # one row per partition
+    joined = base.join(F.broadcast(starts.select("_part", "_start")), part == F.col("_part"))
+    return materialise(joined.withColumn("_i", F.col("_start") + place).drop("_id", "_part", "_start")), total
+
+
 def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequence[str], repeats: int = 10,
-                           top: int = 20, seed: int = models.SEED, bucket_rows: int = 100_000) -> DataFrame:
+                           top: int = 20, seed: int = models.SEED) -> DataFrame:
     """Drop in ROC-AUC when one feature is shuffled: mean and deviation over repeats.
 
-    Rows fall into random buckets of bounded size; inside one, each row borrows the
-    feature from the next row in a random order, closing the circle at the end. That
-    is a permutation of the column without numbering or sorting all rows. Every
-    (repeat, feature) pair is scored in the same pass and measured by one grouped
-    ranking.
+    Rows are numbered once. A shuffle is a pseudorandom permutation of the numbers, its
+    own for each feature and repeat: every row sends its value to the number it maps
+    to, and one equality join per feature brings all repeats' values to their rows.
+    Only scores and labels leave the scoring.
     """
     features = list(features)
-    base = materialise(rows.select(*features, "label").withColumn("_id", F.monotonically_increasing_id()))
-    buckets = max(1, math.ceil(base.count() / bucket_rows))
-    baseline = metrics.compute_metrics(models.score(model, base), prediction="predicted").select("roc_auc").first()[0]
-    copies = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    draw = F.xxhash64(F.lit(seed), "repeat", "_id")
-    copies = copies.withColumns({
-        "_draw": draw, "_bucket": F.pmod(F.xxhash64(F.lit(seed + 1), "repeat", "_id"), F.lit(buckets))})
-    order = Window.partitionBy("repeat", "_bucket").orderBy("_draw", "_id")
-    mine = F.struct(*features)
-    paired = copies.withColumn("_donor", F.coalesce(F.lead(mine).over(order), F.first(mine).over(order)))
-    shuffled = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features]))).select(
-        "repeat", "feature", "label",
-        *[F.when(F.col("feature") == c, F.col(f"_donor.{c}")).otherwise(F.col(c)).alias(c) for c in features])
-    measured = metrics.compute_metrics(models.score(model, shuffled), prediction="predicted", by=["repeat", "feature"])
+    base, n = _numbered(rows.select(*features, "label"))
+    baseline = metrics.compute_metrics(models.score(model, base.drop("_i")), prediction="predicted").select("roc_auc").first()[0]
+    size = max(n, 1)
+
+    def measured(number: int) -> DataFrame:
+        feature = features[number]
+        shift = F.pmod(F.xxhash64(F.lit(seed), F.lit(number), F.col("repeat")), F.lit(size))
+        sent = base.select(F.col(feature).alias("_value"), "_i", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
+        target = _scattered(F.col("_i"), size, _PRIME - 104_729 * number, shift)
+        arrived = sent.select(target.alias("_to"), "repeat", "_value").groupBy("_to").agg(
+            *[F.max(F.when(F.col("repeat") == r, F.col("_value"))).alias(f"_v{r}") for r in range(repeats)])
+        joined = base.join(arrived, F.col("_i") == F.col("_to"))
+        others = [c for c in features if c != feature]
+        cases = joined.select(*others, "label", F.explode(F.array(*[
+            F.struct(F.lit(r).alias("repeat"), F.col(f"_v{r}").alias(feature)) for r in range(repeats)])).alias("_case"))
+        shuffled = cases.select("_case.repeat", F.col(f"_case.{feature}").alias(feature), *others, "label")
+        scored = models.score(model, shuffled).select("repeat", "label", "score", "predicted")
+        return materialise(metrics.compute_metrics(scored, prediction="predicted", by=["repeat"]).select(F.lit(feature).alias("feature"), "roc_auc"))
+
+    # a job per feature, a few at a time; each leaves one row per repeat
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts = list(pool.map(measured, range(len(features))))
+    measures = reduce(DataFrame.unionByName, parts)
     drop = F.lit(baseline) - F.col("roc_auc")
-    table = measured.groupBy("feature").agg(F.avg(drop).alias("importance_mean"),
+    table = measures.groupBy("feature").agg(F.avg(drop).alias("importance_mean"),
                                             F.stddev_pop(drop).alias("importance_std"))
     return top_k(table, "importance_mean", top, "feature")
 
 
-def sampled_attributions(model: PipelineModel, rows: DataFrame, features: Sequence[str], max_rows: int = 1000,
+def _scattered(i: Column, n: int, factor: int, shift: Column) -> Column:
+    """A permutation of 0 .. n - 1: multiplied by a factor without a divisor in common with n, and shifted."""
+    while math.gcd(factor, n) > 1:
+        factor -= 1
+    return F.pmod(i * F.lit(factor % n if n > 1 else 1) + shift, F.lit(n))
+
+
+def sampled_attributions(model: PipelineModel, rows: DataFrame, features: Sequence[str], max_rows: int,
                          draws: int = 20, seed: int = models.SEED) -> DataFrame:
-    """Shapley values of the score by sampling, for at most ``max_rows`` seeded rows.
+    """Shapley values of the score by sampling, for at most ``max_rows`` seeded rows; each result row tells of how many.
 
     For each row, draw and feature: a random feature order, a random background row,
     and the score with and without the feature on top of those ordered before it.
     All hypothetical rows are scored in one pass. Long form: row, feature, value,
-    attribution.
+    attribution, rows_used, rows_available.
     """
     features = list(features)
     sample = seeded_sample(rows.select(*features), max_rows, seed)
     # The sample is capped, so numbering it in one task is safe.
     numbered = materialise(sample.withColumn("row", F.row_number().over(Window.orderBy(*features)) - 1))
-    n = numbered.count()
+    n, available = numbered.count(), rows.count()
     tries = numbered.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
     tries = tries.withColumn("_pick", F.pmod(F.xxhash64(F.lit(seed), "row", "draw"), F.lit(max(n, 1))).cast("int"))
     background = numbered.select(F.col("row").alias("_pick"), *[F.col(c).alias(f"_bg_{c}") for c in features])
@@ -80,7 +113,8 @@ def sampled_attributions(model: PipelineModel, rows: DataFrame, features: Sequen
     scored = models.score(model, hypothetical)
     signed = F.when(F.col("present") == 1, F.col("score")).otherwise(-F.col("score"))
     return scored.groupBy("row", "feature").agg(
-        F.first("value").alias("value"), (F.sum(signed) / F.lit(draws)).alias("attribution"))
+        F.first("value").alias("value"), (F.sum(signed) / F.lit(draws)).alias("attribution"),
+        F.lit(n).alias("rows_used"), F.lit(available).alias("rows_available"))
 
 
 def linear_attributions(model: PipelineModel, rows: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -98,5 +132,6 @@ def linear_attributions(model: PipelineModel, rows: DataFrame, features: Sequenc
 def attribution_summary(attributions: DataFrame) -> DataFrame:
     """Features by mean absolute attribution."""
     return attributions.groupBy("feature").agg(
-        F.avg(F.abs("attribution")).alias("mean_abs"), F.avg("attribution").alias("mean")).orderBy(
+        F.avg(F.abs("attribution")).alias("mean_abs"), F.avg("attribution").alias("mean"),
+        F.first("rows_used").alias("rows_used"), F.first("rows_available").alias("rows_available")).orderBy(
         F.col("mean_abs").desc(), "feature")

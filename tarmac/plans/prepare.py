@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.operators import cleaning, encoding, features, quality
-from tarmac.session import tuned
+from tarmac.session import apart, tuned
 from tarmac.sources import mappings, records, tables
 
 
@@ -84,7 +84,7 @@ def prepare(spark: SparkSession, inputs: str | Sequence[str], folder: str, targe
     """
     inputs = [inputs] if isinstance(inputs, str) else list(inputs)
     with tuned(spark):
-        raw = records.read_records(spark, inputs, target)
+        raw = records.read_records(apart(spark), inputs, target)
         seen = Observation()
         observed = raw.observe(seen, *cleaning.rule_metrics(month), F.collect_set("YEAR").alias("years"))
         tables.write_by_year(cleaning.clean(observed, target, month), f"{folder}/clean_full", overwrite, compact)

@@ -41,6 +41,16 @@ def tuned(spark: SparkSession):
             spark.conf.set(key, before)
 
 
+def apart(spark: SparkSession) -> SparkSession:
+    """A session of its own with the same settings. One that has observed metrics can no longer ship fitted
+    models that refer to it, so observing is done apart from the caller's."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def local_session(cpus: int | str = "*", app: str = "tarmac") -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
     partitions = "8" if cpus == "*" else str(cpus)

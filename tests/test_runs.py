@@ -243,7 +243,7 @@ def test_models_train_score_and_reload(spark, fitted, tmp_path):
     again = model_store.load_model(str(tmp_path), "B", "random_forest")
     same = models.score(again, test).exceptAll(models.score(trained["random_forest"], test))
     assert same.isEmpty()
-    importance = explain.permutation_importance(trained["logistic_regression"], test, names, repeats=2, bucket_rows=400)
+    importance = explain.permutation_importance(trained["logistic_regression"], test, names, repeats=2)
     assert importance.first().feature in ("DEP_DELAY", "DEP_DELAY_NEW", "DEP_DEL15") and importance.count() == 20
 
 
