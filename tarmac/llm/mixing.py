@@ -146,7 +146,8 @@ def taken(docs: DataFrame, block: int = 64, **options) -> DataFrame:
     planned = mix(docs, block=block, **options)
     times = planned.draws.groupBy("source_no", "block").agg(F.count("*").alias("times"))
     columns = ["doc_id", "size", "source_size", "target"]
-    found = parts(planned.docs, block).join(times, ["source_no", "block"], "left").groupBy(*columns, "source_no", "start").agg(
+    # draws are spread from a few rows of sources, so the planner takes them for a small side, which they are not
+    found = parts(planned.docs, block).join(times.hint("merge"), ["source_no", "block"], "left").groupBy(*columns, "source_no", "start").agg(
         F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     empty = planned.docs.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken"))
     return found.select(*columns, F.col("taken").cast("long").alias("taken")).unionByName(empty)
