@@ -35,7 +35,7 @@ class _Hashes(dict):
     """Token -> 63-bit hash, remembered up to a bound."""
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[token] = h = xxhash.xxh64_intdigest(token) >> 1
         return h
