@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.functions import delays
-from tarmac.session import BROADCAST_ROWS, materialise
+from tarmac.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise
 
 NEUTRAL_OTP = 0.5
 
@@ -98,7 +98,7 @@ class Encodings:
         known = F.col("key").isNotNull()
         totals = statistics.groupBy("source").agg(
             F.count_if(known).alias("keys"), F.sum(F.when(known, F.col("n_rows"))).alias("rows"),
-            F.sum("n_operated").alias("operated"), F.sum(F.when(known, F.col("n_delayed"))).alias("delayed"))
+            F.sum(F.octet_length("key")).alias("bytes"), F.sum("n_operated").alias("operated"), F.sum(F.when(known, F.col("n_delayed"))).alias("delayed"))
         self.totals = {r["source"]: r for r in totals.collect()}
         origin = self.totals.get("ORIGIN")
         empty = origin is None or not origin["operated"]
@@ -130,14 +130,14 @@ class Encodings:
     def lookup(self, df: DataFrame, source: str, **columns: str) -> DataFrame:
         """Left join one source's columns, e.g. ``freq="ORIGIN_FREQ"``.
 
-        The key table is broadcast while its counted rows stay under the limit.
-        Beyond it the join is shuffled, and adaptive execution splits the hot keys
+        The key table is broadcast while its counted rows and the bytes of its keys
+        stay under their limits. Beyond them the join is shuffled, and adaptive execution splits the hot keys
         of the fact side.
         """
         table = self.known_keys(source).select(
             "_key", *[F.col(kind).alias(column) for kind, column in columns.items()])
         totals = self.totals.get(source)
-        if totals is None or totals["keys"] <= BROADCAST_ROWS:
+        if totals is None or (totals["keys"] <= BROADCAST_ROWS and (totals["bytes"] or 0) <= BROADCAST_BYTES):
             table = F.broadcast(table)
         return df.join(table, F.col(source) == F.col("_key"), "left").drop("_key")
 

@@ -77,8 +77,8 @@ def rank_sums(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR_DELA
 def kruskal_wallis(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR_DELAY") -> DataFrame:
     """Tie-corrected H over the groups, its p-value and epsilon squared."""
     levels, ties = rank_sums(df, group, value)
-    total = ties.select(F.col("total").cast("double")).scalar()
-    tie_sum = ties.select("tie_sum").scalar()
+    whole = ties.select(F.struct(F.col("total").cast("double").alias("total"), "tie_sum")).scalar()
+    total, tie_sum = whole["total"], whole["tie_sum"]
     off_centre = F.col("rank_sum") / F.col("n") - (total + 1) / F.lit(2.0)
     summed = levels.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * off_centre * off_centre).alias("_between"))
     plain = F.lit(12.0) / (total * (total + 1)) * F.col("_between")
@@ -96,8 +96,8 @@ def dunn(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR_DELAY", c
     that group is compared with the others, by an equality join.
     """
     levels, ties = rank_sums(df, group, value)
-    total = ties.select(F.col("total").cast("double")).scalar()
-    tie_sum = ties.select("tie_sum").scalar()
+    whole = ties.select(F.struct(F.col("total").cast("double").alias("total"), "tie_sum")).scalar()
+    total, tie_sum = whole["total"], whole["tie_sum"]
     means = materialise(levels.select("level", "n", (F.col("rank_sum") / F.col("n")).alias("mean_rank")))
     left = means.select(F.col("level").alias("level_a"), F.col("n").alias("_na"), F.col("mean_rank").alias("_ra"))
     right = means.select(F.col("level").alias("level_b"), F.col("n").alias("_nb"), F.col("mean_rank").alias("_rb"))

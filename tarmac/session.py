@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # A lookup side is broadcast only when its counted rows stay below this. Keys and
 # rates are a few dozen bytes each, so the hash relation stays under ~100 MB.
 BROADCAST_ROWS = 500_000
+# Keys are text of any length: what they take together is counted too.
+BROADCAST_BYTES = 50_000_000
 
 _local_folders: dict[str, str] = {}
 
