@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -581,7 +582,7 @@ def _(spark, folder):
 # --- models: the stated settings, all models, both tracks; whole tables are scored ---
 
 #: Rows that a model learns from at most. The only bound: settings, rounds and scored rows are whole.
-FIT_ROWS = 10_000
+FIT_ROWS = 4_000
 
 _kept: dict[tuple, object] = {}
 
@@ -617,7 +618,9 @@ def _model(spark, folder, track, name):
 
 
 def _scored(spark, folder, track, chosen=tuple(models.RECIPES)):
-    trained = {n: _model(spark, folder, track, n) for n in chosen}
+    _rows(spark, folder, track)
+    with ThreadPoolExecutor(max_workers=models.FITS_AT_ONCE) as pool:
+        trained = dict(zip(chosen, pool.map(lambda n: _model(spark, folder, track, n), chosen)))
     return _once(spark, folder, track, chosen, make=lambda: evaluation.scored_by_model(trained, _rows(spark, folder, track)[2]))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -19,6 +20,8 @@ from tarmac.operators.ranks import quantiles
 from tarmac.session import materialise, shared_folder
 
 SEED = 42
+#: Independent fits that run side by side at most.
+FITS_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -130,9 +133,12 @@ def train_one(rows: DataFrame, features: Sequence[str], name: str, settings: Map
 
 def train_all(rows: DataFrame, features: Sequence[str], settings: Mapping[str, Mapping] | None = None,
               recipes: Mapping[str, Recipe] = RECIPES, fit_rows: int | None = None) -> dict[str, PipelineModel]:
+    """Fit all named classifiers, ``FITS_AT_ONCE`` at a time."""
     if fit_rows is not None:
         rows = fit_sample(rows, fit_rows)
-    return {name: train_one(rows, features, name, (settings or {}).get(name), recipes) for name in recipes}
+    with ThreadPoolExecutor(max_workers=FITS_AT_ONCE) as pool:
+        fitted = pool.map(lambda name: train_one(rows, features, name, (settings or {}).get(name), recipes), recipes)
+        return dict(zip(recipes, fitted))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -148,19 +154,20 @@ def grid_search(rows: DataFrame, features: Sequence[str], name: str, years: Sequ
                 year: str = "key_YEAR") -> DataFrame:
     """Mean ROC-AUC of every grid point over forward-chaining folds, best first.
 
-    Each fold trains on all earlier years and validates on the next one. The loop
-    is over fits, as many as points times folds; each fit is distributed.
+    Each fold trains on all earlier years and validates on the next one. Points times
+    folds are fitted, ``FITS_AT_ONCE`` at a time; each fit is distributed.
     """
     grid = dict(RECIPES[name].grid if grid is None else grid)
-    ordered = sorted(years)
-    results = []
-    for values in product(*grid.values()):
-        point = dict(zip(grid, values))
-        for cut in ordered[1:]:
-            model = train_one(rows.filter(F.col(year) < cut), features, name, {**(settings or {}), **point})
-            valid = score(model, rows.filter(F.col(year) == cut))
-            auc = metrics.compute_metrics(valid, "label", "score", "predicted").first()["roc_auc"]
-            results.append((name, str(point), int(cut), auc))
+
+    def fold(case: tuple) -> tuple:
+        point, cut = case
+        model = train_one(rows.filter(F.col(year) < cut), features, name, {**(settings or {}), **point})
+        valid = score(model, rows.filter(F.col(year) == cut))
+        return name, str(point), int(cut), metrics.compute_metrics(valid, "label", "score", "predicted").first()["roc_auc"]
+
+    cases = [(dict(zip(grid, values)), cut) for values in product(*grid.values()) for cut in sorted(years)[1:]]
+    with ThreadPoolExecutor(max_workers=FITS_AT_ONCE) as pool:
+        results = list(pool.map(fold, cases))
     folds = rows.sparkSession.createDataFrame(results, "model string, point string, year int, roc_auc double")
     return folds.groupBy("model", "point").agg(
         F.avg("roc_auc").alias("roc_auc"), F.count("roc_auc").alias("folds")).orderBy(F.col("roc_auc").desc(), "point")
