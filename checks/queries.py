@@ -653,8 +653,8 @@ def _(spark, folder):
 
 @query("m14_grid_search")
 def _(spark, folder):
-    names, learnt, _, _ = _rows(spark, folder, "A")
-    return models.grid_search(learnt, names, "logistic_regression")
+    names, _, _, train = _rows(spark, folder, "A")
+    return models.grid_search(train, names, "logistic_regression", fit_rows=FIT_ROWS)
 
 
 @query("m15_permutation_importance")

@@ -151,21 +151,26 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def grid_search(rows: DataFrame, features: Sequence[str], name: str, years: Sequence[int] = schema.TRAIN_YEARS,
                 grid: Mapping[str, Sequence] | None = None, settings: Mapping[str, object] | None = None,
-                year: str = "key_YEAR") -> DataFrame:
+                year: str = "key_YEAR", fit_rows: int | None = None) -> DataFrame:
     """Mean ROC-AUC of every grid point over forward-chaining folds, best first.
 
     Each fold trains on all earlier years and validates on the next one. Points times
-    folds are fitted, ``FITS_AT_ONCE`` at a time; each fit is distributed.
+    folds are fitted, ``FITS_AT_ONCE`` at a time; each fit is distributed. ``fit_rows``
+    bounds the rows that a fold learns from; every row of the validation year is scored.
     """
     grid = dict(RECIPES[name].grid if grid is None else grid)
 
     def fold(case: tuple) -> tuple:
         point, cut = case
-        model = train_one(rows.filter(F.col(year) < cut), features, name, {**(settings or {}), **point})
+        model = train_one(earlier[cut], features, name, {**(settings or {}), **point})
         valid = score(model, rows.filter(F.col(year) == cut))
         return name, str(point), int(cut), metrics.compute_metrics(valid, "label", "score", "predicted").first()["roc_auc"]
 
-    cases = [(dict(zip(grid, values)), cut) for values in product(*grid.values()) for cut in sorted(years)[1:]]
+    cuts = sorted(years)[1:]
+    earlier = {cut: rows.filter(F.col(year) < cut) for cut in cuts}
+    if fit_rows is not None:
+        earlier = {cut: fit_sample(x, fit_rows) for cut, x in earlier.items()}
+    cases = [(dict(zip(grid, values)), cut) for values in product(*grid.values()) for cut in cuts]
     with ThreadPoolExecutor(max_workers=FITS_AT_ONCE) as pool:
         results = list(pool.map(fold, cases))
     folds = rows.sparkSession.createDataFrame(results, "model string, point string, year int, roc_auc double")
