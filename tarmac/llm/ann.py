@@ -30,11 +30,11 @@ QUERY_ROWS = 8192
 
 
 class Index(NamedTuple):
-    """``entries``: (vec_id, vector, cell, block) of every row that takes part; ``halves``: the centroids; ``places``: cell -> (first block, blocks)."""
+    """``entries``: (vec_id, vector, cell, block) of every row that takes part; ``halves``: the centroids; ``places``: cell -> (first block, blocks, entries)."""
 
     entries: DataFrame
     halves: tuple[np.ndarray, np.ndarray]
-    places: dict[int, tuple[int, int]]
+    places: dict[int, tuple[int, int, int]]
 
 
 def usable(vectors: DataFrame, dims: int) -> DataFrame:
@@ -102,15 +102,15 @@ def build(vectors: DataFrame, dims: int, cells: int = 32, sample: int = 8192) ->
     for cell, n in counts:
         if n > size:  # a cell of its own blocks, its rows dealt by hash
             block += filled > 0
-            places[cell] = (block, -(-n // size))
+            places[cell] = (block, -(-n // size), n)
             block, filled = block + places[cell][1], 0
         else:
             if filled + n > size:
                 block, filled = block + 1, 0
-            places[cell] = (block, 1)
+            places[cell] = (block, 1, n)
             filled += n
     spark = vectors.sparkSession
-    where = spark.createDataFrame([(c, f, n) for c, (f, n) in places.items()], "cell int, first_block int, parts int")
+    where = spark.createDataFrame([(c, first, parts) for c, (first, parts, _) in places.items()], "cell int, first_block int, parts int")
     entries = assigned.join(F.broadcast(where), "cell").select(
         "vec_id", "vector", "cell", (F.col("first_block") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int").alias("block"))
     return Index(entries, halves, places)
@@ -119,8 +119,9 @@ def build(vectors: DataFrame, dims: int, cells: int = 32, sample: int = 8192) ->
 def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest entries found for each row of ``queries`` (vec_id, vector), itself left out.
 
-    A query visits the nearest ``visit`` of the cells that hold entries; all entries of
-    a visited cell are ranked, however many. Ties go to the smaller vec_id.
+    A query visits the nearest ``visit`` of the cells that hold entries, and goes on until
+    these hold ``k`` entries besides its own or no cell is left; all entries of a visited
+    cell are ranked, however many. Ties go to the smaller vec_id.
     """
     halves, places = index.halves, index.places
     visited = max(1, math.ceil(visit * len(places)))
@@ -131,24 +132,27 @@ def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -
             if not batch.num_rows:
                 continue
             out: list[tuple] = []
-            for q, vector in enumerate(_matrix(batch.column(1))):
+            for q, (vector, own) in enumerate(zip(_matrix(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
                 blocks: dict[int, list[int]] = {}
-                left = visited
+                left, lacking = visited, k + own
                 for cell in traversal(vector, halves):
                     if cell in places:
-                        first, parts = places[cell]
+                        first, parts, held = places[cell]
                         for b in range(first, first + parts):
                             blocks.setdefault(b, []).append(cell)
                         left -= 1
-                        if not left:
+                        lacking -= held
+                        if left <= 0 and lacking <= 0:
                             break
                 out += [(q, b, cells) for b, cells in blocks.items()]
-            picked = batch.take(pa.array([o[0] for o in out], pa.int64()))
+            picked = batch.select([0, 1]).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*picked.columns, pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.list_(pa.int32()))],
                 ["query_id", "query", "block", "cells"])
 
     asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    own = index.entries.select(F.col("vec_id").alias("query_id")).join(asked.select("query_id"), "query_id", "left_semi").groupBy("query_id").agg(F.count("*").alias("own"))
+    asked = asked.join(own, "query_id", "left").select("query_id", "query", F.coalesce("own", F.lit(0)).alias("own"))
     parts = max(1, -(-queries.count() // QUERY_ROWS))
     planned = asked.mapInArrow(plan, f"query_id long, query {kind}, block int, cells array<int>").withColumn(
         "part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
