@@ -4,8 +4,9 @@ The field's nodes are a document's tokens that hold a digit or an ``@``; other t
 can carry no label. Neighbouring tokens share chain potentials; a token also shares a
 potential with the next token that repeats it or ends in the same digits, however far
 away. Tokens inside a pattern's match are observed, and loopy sum-product message
-passing carries their labels to the rest, so a number that is plain once and garbled
-elsewhere gets one label throughout its document.
+passing carries their labels to the rest. Observed tokens are linked to every such token
+of their document, so a number that is plain once and garbled elsewhere gets one label
+throughout, however many repeats lie between. Messages pass until they settle.
 """
 
 from __future__ import annotations
@@ -126,19 +127,24 @@ def _key(token: str) -> str | None:
 
 
 class Graph(NamedTuple):
-    """Tokens of some documents: feature rows, observed labels (-1: open), chain and skip links as index pairs."""
+    """Tokens of some documents: feature rows, observed labels (-1: open), chain and skip links as index pairs.
+
+    ``far`` links go from observed tokens, one for each label under a key, to the open ones
+    under it that have no skip link with a token of that label. They carry skip potentials.
+    """
 
     spots: list[tuple[int, int, int]]  # document, start, end
     features: np.ndarray
     seen: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    far: np.ndarray = np.zeros((0, 2), np.int64)
 
 
 def graph(texts: list[str], bases: list[list[Span]]) -> Graph:
-    spots, features, seen, chain, skip = [], [], [], [], []
+    spots, features, seen, chain, skip, far = [], [], [], [], [], []
     for doc, (text, base) in enumerate(zip(texts, bases, strict=True)):
-        last: dict[str, int] = {}
+        under: dict[str, list[int]] = {}
         before = None
         spans = sorted((s, e, k) for k, s, e in base)
         nearest = 0
@@ -157,11 +163,15 @@ def graph(texts: list[str], bases: list[list[Span]]) -> Graph:
             before = end
             key = _key(token)
             if key is not None:
-                if key in last:
-                    skip.append((last[key], at))
-                last[key] = at
+                under.setdefault(key, []).append(at)
+        for held in under.values():
+            skip += zip(held, held[1:], strict=False)
+            labels = [seen[k] for k in held]
+            for label in sorted(set(labels) - {-1}):
+                beside = [label in labels[max(0, k - 1):k + 2] for k in range(len(held))]
+                far += [(held[labels.index(label)], at) for at, mine, near in zip(held, labels, beside, strict=True) if mine < 0 and not near]
     pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Graph(spots, np.array(features).reshape(-1, _FEATURES), np.array(seen, np.int64), pairs(chain), pairs(skip))
+    return Graph(spots, np.array(features).reshape(-1, _FEATURES), np.array(seen, np.int64), pairs(chain), pairs(skip), pairs(far))
 
 
 class Model(NamedTuple):
@@ -208,12 +218,20 @@ def fit(texts: list[str], rounds: int = 300, rate: float = 0.1, decay: float = 1
     return Model(*params)
 
 
-def beliefs(g: Graph, model: Model, rounds: int = 12) -> np.ndarray:
-    """Label probabilities of all tokens after ``rounds`` rounds of loopy sum-product, all documents at once."""
+def beliefs(g: Graph, model: Model, rounds: int | None = None, settled: float = 1e-6) -> np.ndarray:
+    """Label probabilities of all tokens after loopy sum-product, all documents at once.
+
+    Without ``rounds`` messages pass until those of a document change by less than
+    ``settled``, for at most 64 rounds and four more for each token of the longest document:
+    damped by half, a message needs about two for each link.
+    """
     unary = g.features @ model.node
     fixed = g.seen >= 0
     unary[fixed] = -1e3
     unary[fixed, g.seen[fixed]] = 0
+    doc = np.array([s[0] for s in g.spots], np.int64)
+    if len(g.far):  # what an observed token sends depends on its label only
+        np.add.at(unary, g.far[:, 1], model.skip[g.seen[g.far[:, 0]]])
     # a message for each direction of each link: (from, to, potential with the sender's label first)
     source = np.concatenate([g.chain[:, 0], g.chain[:, 1], g.skip[:, 0], g.skip[:, 1]])
     target = np.concatenate([g.chain[:, 1], g.chain[:, 0], g.skip[:, 1], g.skip[:, 0]])
@@ -221,17 +239,25 @@ def beliefs(g: Graph, model: Model, rounds: int = 12) -> np.ndarray:
     which = np.repeat(np.arange(4), [len(g.chain), len(g.chain), len(g.skip), len(g.skip)])
     back = np.concatenate([np.arange(len(g.chain)) + len(g.chain), np.arange(len(g.chain)), 2 * len(g.chain) + len(g.skip) + np.arange(len(g.skip)), 2 * len(g.chain) + np.arange(len(g.skip))])
     sent = np.zeros((len(source), _LABELS))
-    for _ in range(rounds if len(source) else 0):
-        total = unary.copy()
-        np.add.at(total, target, sent)
-        out = (total[source] - sent[back])[:, :, None] + tables[which]
+    most = 64 + 4 * int(np.bincount(doc).max()) if rounds is None and len(doc) else rounds or 0
+    live, total, answer = np.arange(len(source)), unary.copy(), back
+    for _ in range(most):
+        if not len(live):
+            break
+        into, out_of = target[live], source[live]
+        total[into] = unary[into]
+        np.add.at(total, into, sent[live])
+        out = (total[out_of] - sent[answer])[:, :, None] + tables[which[live]]
         top = out.max(axis=1, keepdims=True)
         new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
         new -= new.max(axis=1, keepdims=True)
-        done = np.abs(new - sent).max() < 1e-6
-        sent = 0.5 * sent + 0.5 * new
-        if done:
-            break
+        moving = np.abs(new - sent[live]).max(axis=1) >= settled
+        sent[live] = 0.5 * sent[live] + 0.5 * new
+        # links stay within a document: the settled ones are left as they are
+        going = np.isin(doc[out_of], doc[out_of[moving]])
+        if not going.all():
+            live = live[going]
+            answer = back[live]
     np.add.at(unary, target, sent)
     unary -= unary.max(axis=1, keepdims=True)
     p = np.exp(unary)
