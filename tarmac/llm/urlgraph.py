@@ -59,12 +59,19 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return targets.where("src <> dst and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85) -> DataFrame:
+#: Rounds go on until the scores of a kind change by no more than this in sum, where all of a kind's scores sum to 1 at most.
+TOLERANCE = 1e-8
+MOST_ROUNDS = 5000
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = 12, damping: float = 0.85) -> DataFrame:
     """(kind, host, score) by personalised PageRank of each kind.
 
     ``edges`` (kind, src, dst, links); ``seeds`` (kind, host, weight), whose weights
     are scaled to sum to 1 for each kind. A walk that reaches a host without links
-    ends there. Each round is stored, so a lost executor costs one round.
+    ends there. Each round is stored, so a lost executor costs one round. With
+    ``rounds=None`` they go on until the summed absolute change is at most ``TOLERANCE`` and no further host
+    is reached; after ``MOST_ROUNDS`` that is an error.
     """
     out = edges.groupBy("kind", "src").agg(F.sum("links").alias("all_links"))
     moves = materialise(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("all_links")).alias("share")))
@@ -73,19 +80,31 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: flo
         "kind", "host", (F.col("weight") / F.col("total")).alias("score")))
     restart = start.select("kind", "host", (F.col("score") * (1 - damping)).alias("score"))
     ranks = start
-    for _ in range(rounds):
+    for _ in range(MOST_ROUNDS if rounds is None else rounds):
         moved = ranks.join(moves, (ranks["kind"] == moves["kind"]) & (ranks["host"] == moves["src"])).select(
             moves["kind"], F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"))
-        ranks = materialise(moved.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score")))
-    return ranks
-
-
-def judge(pages: DataFrame, rules: list[Rule], rounds: int = 12, damping: float = 0.85, threshold: float = 1.0) -> DataFrame:
+        arrived = moved.unionByName(restart).withColumn("old", F.lit(None).cast("double"))
+        before = ranks.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("old"))
+        # a host is at its old place too, so the change needs no join
+        ranks = materialise(arrived.unionByName(before).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("old").alias("old")))
+        if rounds is None:
+            moved_by, reached = ranks.agg(F.sum(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0)))), F.count(F.when(F.col("old").isNull(), 1))).first()
+            if (moved_by or 0.0) <= TOLERANCE and not reached:
+                break
+        ranks = ranks.select("kind", "host", "score")
+    else:
+        if rounds is None:
+            raise RuntimeError(f"scores did not settle in {MOST_ROUNDS} rounds")
+    return ranks.select("kind", "host", "score")
+
+
+def judge(pages: DataFrame, rules: list[Rule], rounds: int | None = None, damping: float = 0.85, threshold: float = 1.0) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, host, path, rule, verdict, trust and distrust.
 
     Where no rule fits, a host is blocked if its distrust exceeds ``threshold`` times
     its trust; a host that neither reaches, and a page without a host, is allowed. A null html
-    has no links. Repeated rows stay; an empty table gives an empty result.
+    has no links. Repeated rows stay; an empty table gives an empty result. Scores are those
+    of ``rounds`` rounds if given, else settled ones.
     """
     at = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     name, verdict = fitting(F.col("host"), F.col("path"), rules)
