@@ -48,8 +48,8 @@ def fitting(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return name, verdict
 
 
-#: Absolute and scheme-relative targets of links, and the host a page credits at its foot.
-_TARGETS = (r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([A-Za-z0-9.-]+)""", r"(?:&copy;|©)\s*([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
+#: Absolute and scheme-relative targets of links, cut where ``host_of`` cuts or the attribute ends, and the host a page credits at its foot.
+_TARGETS = (r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'>\s]+)""", r"(?:&copy;|©)\s*([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
