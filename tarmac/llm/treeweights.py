@@ -8,10 +8,12 @@ learning texts; with them fixed, a bit's probability is the estimates of all dep
 each weighted by what its node's estimate is worth against its children.
 
 Texts are read as lower-cased (A-Z) UTF-8 with an end mark. They are cut into pieces and
-the pieces gathered into chunks of bounded size; a chunk passes on each six-byte window
-it holds once, with its count, and gets back each window's logarithm, so what is
-shuffled is distinct windows per chunk instead of positions. The trees are DataFrames of
-nodes, one table per depth: sums go up from children to parents, weights come down.
+the pieces gathered into chunks of bounded size. A chunk asks for each six-byte window it
+holds once: its windows are dealt to buckets by the two bytes before the last, packed,
+and answered by bucket with each window's logarithm. So distinct windows per chunk are
+shuffled instead of positions. The longest contexts are worked out inside their bucket;
+the depths above are DataFrames of nodes, one per depth: sums go up from children to
+parents, weights come down.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import materialise, pieces, utf8
@@ -33,50 +36,76 @@ from tarmac.llm.common import materialise, pieces, utf8
 DEPTH = 5
 #: Ends a text and stands before its first byte; not part of any UTF-8 text.
 EDGE = b"\xff"
-#: Bytes of the texts of one chunk, about, and of what a task turns into numbers at a time.
+#: Bytes of the texts of one chunk, and of one stored block of it, about.
 CHUNK_BYTES = 32 << 20
-STEP_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Windows of a chunk that a task keeps apart before it adds up equal ones.
 KEPT = 4 << 20
+#: Buckets of windows, as a number of bits; and chunks that are answered for one bucket in a task.
+BUCKET_BITS = 10
+ANSWERED = 1024
 #: The word that ends each text among the base's tokens; no word is empty.
 END = b""
 
-_SEGMENTS = "row long, doc_id long, learn boolean, chunk long, last boolean, before binary, b binary"
+_BLOCKS = "chunk long, row array<long>, doc_id array<long>, learn array<boolean>, last array<boolean>, before array<binary>, size array<long>, packed binary"
+_BLOCK_KINDS = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary())
 
 
-def segments(docs: DataFrame, learn: Column, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Lower-cased pieces of the texts, cut between words, with the bytes before each and the chunk it belongs to.
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as compressed differences, byte by byte of their width."""
+    steps = np.diff(numbers.astype(np.int64), prepend=0)
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+
+def blocks(docs: DataFrame, learn: Column, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Lower-cased pieces of the texts, cut between words, compressed a block at a time, with the bytes before each piece.
 
     A chunk is consecutive pieces of one task up to ``chunk_bytes``. A null text is empty. A word is never cut.
     """
-    names = [c.split()[0] for c in _SEGMENTS.split(", ")]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, filled, held, out = TaskContext.get().partitionId() << 24, 0, 0, []
 
         def passed() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            *lists, bodies = (list(c) for c in zip(*out, strict=True))
+            values = [chunk, *lists, [len(b) for b in bodies], zstandard.compress(b"".join(bodies), 3)]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _BLOCK_KINDS, strict=True)], _names(_BLOCKS))
 
         for batch in batches:
             ids = [batch.column(k).to_pylist() for k in range(3)]
             for row, doc_id, learnt, text in zip(*ids, batch.column(3), strict=True):
                 before, cuts = EDGE * depth, list(pieces(text.as_buffer().to_pybytes().lower()))
                 for k, piece in enumerate(cuts):
-                    out.append((row, doc_id, learnt, chunk, k == len(cuts) - 1, before, piece))
+                    out.append((row, doc_id, learnt, k == len(cuts) - 1, before, piece))
                     before = (before + piece)[-depth:]
                     filled, held = filled + len(piece), held + len(piece)
-                    if filled >= chunk_bytes:
-                        chunk, filled = chunk + 1, 0
-                    if held >= STEP_BYTES:
+                    if held >= min(BLOCK_BYTES, chunk_bytes):
                         yield passed()
                         out, held = [], 0
+                        if filled >= chunk_bytes:
+                            chunk, filled = chunk + 1, 0
         if out:
             yield passed()
 
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), learn.alias("learn"), utf8(F.col("text")).alias("b"))
-    return read.mapInArrow(run, _SEGMENTS)
+    return read.mapInArrow(run, _BLOCKS)
+
+
+def _pieces_of(block: dict) -> list[bytes]:
+    data, ends = zstandard.decompress(block["packed"]), np.cumsum(block["size"]).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def _ended(bodies: list[bytes], last: list[bool]) -> list[bytes]:
+    return [b + EDGE if end else b for b, end in zip(bodies, last, strict=True)]
 
 
 def windows(befores: list[bytes], bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,136 +123,165 @@ def windows(befores: list[bytes], bodies: list[bytes], depth: int) -> tuple[np.n
     return codes[inside[depth:]], ends
 
 
+def _bucket(context, depth: int):
+    """The bucket of a context, as an array or a column: by its last two bytes, or all that the parents of the deepest nodes have."""
+    mask, down = (1 << 8 * min(2, depth - 1)) - 1, 16 - BUCKET_BITS
+    if isinstance(context, Column):
+        return F.shiftright((context.bitwiseAND(F.lit(mask)) * 40503).bitwiseAND(F.lit(65535)), down).cast("int")
+    return (((context & mask) * 40503 & 65535) >> down).astype(np.int32)
+
+
 def _distinct(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at, found = pd.factorize(codes)
     return found, np.bincount(at, counts, len(found)).astype(np.int64)
 
 
-def _bodies(rows: list[tuple]) -> tuple[list[bytes], list[bytes]]:
-    """The bytes before, and the bytes with the end mark, of (before, b, last)."""
-    return [r[0] for r in rows], [r[1] + EDGE if r[2] else r[1] for r in rows]
+_ASKED = "chunk long, bucket int, windows binary, counts binary, word binary, n long"
 
 
-def held(pieces_of: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(chunk, window, word, n): each window, and each word, that a chunk holds, with its number in learning texts (maybe 0).
+def asked(cut: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """What each chunk holds: (chunk, bucket, windows, counts), a packed row per bucket, and (chunk, word, n), a row per word.
 
-    A chunk that a scan cuts in two gives some rows twice, which their sums do not mind.
+    Counts are of learning texts only (maybe 0). A chunk that a scan cuts in two gives some rows twice, which does no harm.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, waiting, size = None, [], 0
+        now: int | None = None
         sums: list[tuple[np.ndarray, np.ndarray]] = []
         words: Counter[bytes] = Counter()
 
-        def counted() -> None:
-            for learnt in (True, False):
-                rows = [r[:3] for r in waiting if r[3] == learnt]
-                if rows:
-                    codes, _ = windows(*_bodies(rows), depth)
-                    found, n = _distinct(codes, np.full(len(codes), float(learnt)))
-                    sums.append((found, n))
-            if sum(len(s[0]) for s in sums) > KEPT:
-                sums[:] = [_distinct(np.concatenate([s[0] for s in sums]), np.concatenate([s[1] for s in sums]))]
-
         def passed() -> Iterator[pa.RecordBatch]:
-            names = ["chunk", "window", "word", "n"]
             if sums:
-                found, n = _distinct(np.concatenate([s[0] for s in sums]), np.concatenate([s[1] for s in sums]))
+                found, n = _distinct(*(np.concatenate(x) for x in zip(*sums, strict=True)))
+                bucket = _bucket(found >> 8, depth)
+                order = np.lexsort((found, bucket))
+                found, n, bucket = found[order], n[order], bucket[order]
+                edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+                spans = list(zip(edges, edges[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), now)), pa.array(found), pa.nulls(len(found), pa.binary()), pa.array(n)], names)
+                    [pa.array([now] * len(spans), pa.int64()), pa.array(bucket[edges[:-1]]), pa.array([packed(found[a:b]) for a, b in spans], pa.binary()),
+                     pa.array([packed(n[a:b]) for a, b in spans], pa.binary()), pa.nulls(len(spans), pa.binary()), pa.nulls(len(spans), pa.int64())], _names(_ASKED))
             if words:
+                blank = [pa.nulls(len(words), k) for k in (pa.int32(), pa.binary(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(words), now)), pa.nulls(len(words), pa.int64()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], names)
+                    [pa.array([now] * len(words), pa.int64()), *blank, pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], _names(_ASKED))
             sums.clear()
             words.clear()
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if row[4] != now:
-                    if waiting:
-                        counted()
+            for k in range(batch.num_rows):
+                block = batch.slice(k, 1).to_pylist()[0]
+                if block["chunk"] != now:
                     yield from passed()
-                    now, waiting, size = row[4], [], 0
-                waiting.append(row[:4])
-                size += len(row[1])
-                split = row[1].split()
-                if row[3]:
-                    words.update(split)
-                else:
-                    words.update(dict.fromkeys(split, 0))
-                if row[2]:
-                    words[END] += row[3]
-                if size >= STEP_BYTES:
-                    counted()
-                    waiting, size = [], 0
-        if waiting:
-            counted()
+                    now = block["chunk"]
+                bodies = _pieces_of(block)
+                codes, ends = windows(block["before"], _ended(bodies, block["last"]), depth)
+                learnt = np.repeat(np.array(block["learn"], float), np.diff(ends, prepend=0))
+                sums.append(_distinct(codes, learnt))
+                if sum(len(s[0]) for s in sums) > KEPT:
+                    sums[:] = [_distinct(*(np.concatenate(x) for x in zip(*sums, strict=True)))]
+                for body, learn, last in zip(bodies, block["learn"], block["last"], strict=True):
+                    if learn:
+                        words.update(body.split())
+                    else:
+                        words.update(dict.fromkeys(body.split(), 0))
+                    if last:
+                        words[END] += learn
         yield from passed()
 
-    read = pieces_of.select("before", "b", "last", "learn", "chunk")
-    return read.mapInArrow(run, "chunk long, window long, word binary, n long")
+    return cut.mapInArrow(run, _ASKED)
 
 
-def _log_gamma(z: Column) -> Column:
-    """ln of the gamma function for z >= 1/2: Stirling's series eight places further, and the steps back."""
-    far = z + 8
-    series = 1 / (12 * far) - 1 / (360 * F.pow(far, 3)) + 1 / (1260 * F.pow(far, 5))
-    back = z
-    for k in range(1, 8):
-        back = back * (z + k)
-    return (far - 0.5) * F.log(far) - far + 0.5 * math.log(2 * math.pi) + series - F.log(back)
-
+def counts(held: DataFrame) -> DataFrame:
+    """(bucket, window, n): each window's number in all learning texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, found, n in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                found, n = unpacked(found), unpacked(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), bucket, np.int32)), pa.array(found), pa.array(n)], ["bucket", "window", "n"])
 
-def estimate(zeros: Column, ones: Column) -> Column:
-    """ln of the Krichevsky-Trofimov probability of so many zeros and ones in any one order."""
-    a, b = zeros.cast("double"), ones.cast("double")
-    return F.when(a + b == 0, 0.0).otherwise(_log_gamma(a + 0.5) + _log_gamma(b + 0.5) - math.log(math.pi) - _log_gamma(a + b + 1))
+    rows = held.select("bucket", "windows", "counts").mapInArrow(run, "bucket int, window long, n long")
+    return rows.groupBy("bucket", "window").agg(F.sum("n").alias("n"))
 
 
-def _next(zeros: Column, ones: Column) -> Column:
-    """The estimate's probability that the next bit is one."""
-    return (ones + 0.5) / (zeros + ones + 1.0)
+#: Stirling's series of ln of the gamma function, by falling powers of the squared inverse.
+_SERIES = np.poly1d([1 / 1188, -1 / 1680, 1 / 1260, -1 / 360, 1 / 12])
 
 
-def _prefix(symbol: Column, k: Column) -> Column:
-    """A one and the first ``k`` bits of a byte: the name of its next binary choice."""
-    return F.call_function("shiftright", symbol + 256, (8 - k).cast("int"))
+def log_gamma(z: np.ndarray) -> np.ndarray:
+    """ln of the gamma function for z >= 1/2: Stirling's series eight places further, and the steps back."""
+    far = z + 8
+    r = 1 / far
+    return (far - 0.5) * np.log(far) - far + 0.5 * math.log(2 * math.pi) + _SERIES(r * r) * r - np.log(
+        z * (z + 1) * (z + 2) * (z + 3) * (z + 4) * (z + 5) * (z + 6) * (z + 7))
 
 
-def leaves(counted: DataFrame) -> DataFrame:
-    """(ctx, p, zeros, ones) of the longest contexts: how often choice ``p`` after ``ctx`` was zero and one."""
-    symbol, k = F.col("window").bitwiseAND(F.lit(255)), F.col("k")
-    bits = counted.select(F.shiftright("window", 8).alias("ctx"), symbol.alias("symbol"), "n", F.explode(F.lit(list(range(8)))).alias("k"))
-    bit = F.call_function("shiftright", F.col("symbol"), (7 - k).cast("int")).bitwiseAND(F.lit(1))
-    return bits.select("ctx", _prefix(F.col("symbol"), k).alias("p"), "n", bit.alias("bit")).groupBy("ctx", "p").agg(
-        F.sum(F.col("n") * (1 - F.col("bit"))).alias("zeros"), F.sum(F.col("n") * F.col("bit")).alias("ones"))
+def estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """ln of the Krichevsky-Trofimov probability of so many zeros and ones in any one order."""
+    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - math.log(math.pi) - log_gamma(zeros + ones + 1.0)
 
 
-def tree(counted: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
-    """The nodes of each depth, (ctx, p, zeros, ones, below): ``below`` is the sum of the children's log weighted probabilities.
+def _leaves(found: np.ndarray, n: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each bit of a byte: (parent, zeros, ones) of the deepest nodes, which node each window is in, and its bit.
 
-    A node has at most 256 children, so no group is large; parents are sums over plain groups.
+    ``found`` rises, so windows that share a context and first bits stand together. ``parent`` is the context
+    without its oldest byte, and the name of the choice in the last eight bits.
     """
-    levels = [materialise(leaves(counted).withColumn("below", F.lit(None).cast("double")))]
-    for d in range(depth - 1, -1, -1):
-        own, below = estimate(F.col("zeros"), F.col("ones")), F.col("below")
-        both = F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - math.log(2)
-        weighted = F.when(below.isNull(), own).otherwise(both)
-        up = levels[0].select(F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("ctx"), "p", "zeros", "ones", weighted.alias("w"))
-        levels.insert(0, materialise(up.groupBy("ctx", "p").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("w").alias("below"))))
+    for k in range(8):
+        first = np.flatnonzero(np.diff(found >> (8 - k), prepend=-1))
+        bit = found >> (7 - k) & 1
+        ones = np.add.reduceat(n * bit, first)
+        zeros = np.add.reduceat(n, first) - ones
+        name = (found[first] & 255 | 256) >> (8 - k)
+        parent = (found[first] >> 8 & (1 << 8 * (depth - 1)) - 1) << 8 | name
+        node = np.cumsum(np.bincount(first, minlength=len(found))) - 1
+        yield parent, zeros, ones, node, bit
+
+
+_NODES = "ctx long, p int, zeros long, ones long, below double"
+
+
+def parents(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """The nodes one above the deepest, with the sums over their children. A bucket holds all children of its nodes, and at
+    most so many windows as two further bytes of context and the byte itself can make for its last two bytes."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("window")
+        found, n = group["window"].to_numpy(), group["n"].to_numpy()
+        parts = [(key, zeros, ones, estimate(zeros, ones)) for key, zeros, ones, _, _ in _leaves(found, n, depth)]
+        key, zeros, ones, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+        node, at = np.unique(key, return_inverse=True)
+        sums = [np.bincount(at, x, len(node)) for x in (zeros, ones, own)]
+        return pa.table([pa.array(node >> 8), pa.array((node & 255).astype(np.int32)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2])], names=_names(_NODES))
+
+    return counted.groupBy("bucket").applyInArrow(run, _NODES)
+
+
+def tree(lowest: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
+    """The nodes of each depth but the deepest, root first: (ctx, p, zeros, ones, below, own). ``below`` is the sum of the
+    children's log weighted probabilities, ``own`` the node's estimate. A node has at most 256 children."""
+    @F.pandas_udf("double")
+    def estimated(zeros: pd.Series, ones: pd.Series) -> pd.Series:
+        return pd.Series(estimate(zeros.to_numpy(np.float64), ones.to_numpy(np.float64)))
+
+    levels: list[DataFrame] = []
+    nodes = lowest
+    for d in range(depth - 2, -2, -1):
+        levels.insert(0, materialise(nodes.withColumn("own", estimated("zeros", "ones"))))
+        own, below = F.col("own"), F.col("below")
+        weighted = F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - math.log(2)
+        up = levels[0].select(F.col("ctx").bitwiseAND(F.lit((1 << 8 * max(0, d)) - 1)).alias("ctx"), "p", "zeros", "ones", weighted.alias("w"))
+        nodes = up.groupBy("ctx", "p").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("w").alias("below"))
     return levels
 
 
 def chances(levels: list[DataFrame]) -> DataFrame:
-    """(ctx, p, one) of the longest contexts: the probability of a one, mixed over all depths.
+    """(ctx, p, added, left) of the lowest of ``levels``: what the depths so far give the probability of a one, and the weight left to the children.
 
-    From the root down a node knows what the depths above have added and what weight they left.
+    From the root down a node takes over what its parent has added; the weight of its own
+    estimate is what that is worth against its children's.
     """
     ahead = None
     for d, nodes in enumerate(levels):
-        kt = _next(F.col("zeros"), F.col("ones"))
-        # what the node's own estimate is worth against its children's; the deepest has none
-        share = F.when(F.col("below").isNull(), 1.0).otherwise(1 / (1 + F.exp(F.col("below") - estimate(F.col("zeros"), F.col("ones")))))
-        here = nodes.select("ctx", "p", kt.alias("kt"), share.alias("share"))
+        here = nodes.select("ctx", "p", ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)).alias("kt"), (1 / (1 + F.exp(F.col("below") - F.col("own")))).alias("share"))
         if ahead is None:
             here = here.withColumns({"added": F.lit(0.0), "left": F.lit(1.0)})
         else:
@@ -231,20 +289,43 @@ def chances(levels: list[DataFrame]) -> DataFrame:
             here = here.withColumn("parent", parent).join(ahead.withColumnRenamed("ctx", "parent"), ["parent", "p"]).drop("parent")
         added = F.col("added") + F.col("left") * F.col("share") * F.col("kt")
         ahead = here.select("ctx", "p", added.alias("added"), (F.col("left") * (1 - F.col("share"))).alias("left"))
-    return ahead.select("ctx", "p", F.col("added").alias("one"))
-
-
-def window_logs(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(window, value): log10 of the probability of each window's last byte after the bytes before it."""
-    of = chances(tree(counted, depth)).groupBy("ctx").agg(F.map_from_entries(F.collect_list(F.struct("p", "one"))).alias("ones"))  # at most 255
-    symbol = F.col("window").bitwiseAND(F.lit(255))
+    return ahead
+
+
+def _logs(group: pa.Table, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(windows, log10 of the probability of their last byte) of one bucket; rows with a ``p`` are the parents of its deepest nodes."""
+    inner = group["p"].is_valid().to_numpy()
+    code, n = group["code"].to_numpy(), group["n"].to_numpy()
+    order = np.argsort(code[~inner])
+    found, n = code[~inner][order], n[~inner][order].astype(np.int64)
+    key = code[inner] << 8 | group["p"].to_numpy()[inner].astype(np.int64)
+    order = np.argsort(key)
+    key, added, left = key[order], group["added"].to_numpy()[inner][order], group["left"].to_numpy()[inner][order]
+    total = np.zeros(len(found))
+    for parent, zeros, ones, node, bit in _leaves(found, n, depth):
+        at = np.searchsorted(key, parent)
+        one = added[at] + left[at] * (ones + 0.5) / (zeros + ones + 1.0)
+        total += np.log10(np.where(bit == 1, one[node], 1 - one[node]))
+    return found, total
+
+
+def answers(held: DataFrame, counted: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(chunk, windows, values): the chunks' packed windows, and log10 of the probability of each window's last byte after the bytes before."""
+    none = F.lit(None)
+    known = counted.select("bucket", F.col("window").alias("code"), "n", none.cast("int").alias("p"), none.cast("double").alias("added"), none.cast("double").alias("left"))
+    upper = chances(tree(parents(counted, depth), depth))
+    known = known.unionByName(upper.select(_bucket(F.col("ctx"), depth).alias("bucket"), F.col("ctx").alias("code"), none.cast("long").alias("n"), "p", "added", "left"))
+    chunks = held.select("chunk").distinct().count()
+    salts = -(-chunks // ANSWERED)  # a bucket's chunks are answered in so many tasks
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(max(0, salts - 1)))))
+    wanted = held.select("bucket", F.pmod(F.xxhash64("chunk"), F.lit(max(1, salts))).cast("int").alias("salt"), "chunk", "windows")
 
-    def bit(k):
-        one = F.element_at("ones", _prefix(symbol, k))
-        return F.log10(F.when(F.call_function("shiftright", symbol, (7 - k).cast("int")).bitwiseAND(F.lit(1)) == 1, one).otherwise(1 - one))
+    def run(model: pa.Table, rows: pa.Table) -> pa.Table:
+        found, logs = _logs(model, depth)
+        values = [logs[np.searchsorted(found, unpacked(w))].tobytes() for w in rows["windows"].to_pylist()]
+        return pa.table({"chunk": rows["chunk"], "windows": rows["windows"], "values": pa.array(values, pa.binary())})
 
-    value = F.aggregate(F.transform(F.lit(list(range(8))), bit), F.lit(0.0), lambda a, b: a + b)
-    return counted.select("window", F.shiftright("window", 8).alias("ctx")).join(of, "ctx").select("window", value.alias("value"))
+    return known.groupBy("bucket", "salt").cogroup(wanted.groupBy("bucket", "salt")).applyInArrow(run, "chunk long, windows binary, values binary")
 
 
 _SCORED = "row long, doc_id long, learn boolean, bytes long, n_tokens long, n_known long, base_score double, score double"
@@ -255,27 +336,26 @@ def _chunk_scores(total: int, kinds: int, depth: int):
     rest = math.log10(total + kinds + 1)
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        is_word = known["word"].is_valid().to_numpy()
-        codes = known["window"].to_numpy()[~is_word].astype(np.int64)
-        values = known["value"].to_numpy()[~is_word]
-        index = pd.Index(codes)
-        n = known["n"].to_numpy()[is_word]
-        names = known["word"].filter(known["word"].is_valid()).to_pylist()
-        logs = dict(zip(names, (np.log10(n + 1.0) - rest).tolist(), strict=True))
-        seen = dict(zip(names, (n > 0).astype(int).tolist(), strict=True))
+        some = known.filter(known["windows"].is_valid())
+        codes = np.concatenate([np.empty(0, np.int64), *map(unpacked, some["windows"].to_pylist())])
+        values = np.frombuffer(b"".join(some["values"].to_pylist()), np.float64)
+        codes, first = np.unique(codes, return_index=True)
+        index, values = pd.Index(codes), values[first]
+        some = known.filter(known["word"].is_valid())
+        logs = dict(zip(some["word"].to_pylist(), (np.log10(some["n"].to_numpy() + 1.0) - rest).tolist(), strict=True))
         out: list[tuple] = []
-        for batch in texts.to_batches(max_chunksize=256):
-            rows = batch.to_pylist()
-            found, ends = windows(*_bodies([(r["before"], r["b"], r["last"]) for r in rows]), depth)
+        for k in range(texts.num_rows):
+            block = texts.slice(k, 1).to_pylist()[0]
+            bodies = _pieces_of(block)
+            found, ends = windows(block["before"], _ended(bodies, block["last"]), depth)
             sums = np.concatenate([[0.0], np.cumsum(values[index.get_indexer(found)])])[np.concatenate([[0], ends])]
-            for r, score in zip(rows, np.diff(sums).tolist(), strict=True):
-                split = r["b"].split()
-                split += [END] * r["last"]
-                out.append((r["row"], r["doc_id"], r["learn"], len(r["b"]), len(split), sum(map(seen.__getitem__, split)),
-                            math.fsum(map(logs.__getitem__, split)), score))
+            for row, doc_id, learn, last, body, score in zip(block["row"], block["doc_id"], block["learn"], block["last"], bodies, np.diff(sums).tolist(), strict=True):
+                words = [logs[w] for w in body.split()] + [logs[END]] * last
+                # a word never learnt has a count of 0, whose logarithm is 0
+                out.append((row, doc_id, learn, len(body), len(words), sum(x != -rest for x in words), math.fsum(words), score))
         columns = list(zip(*out, strict=True)) if out else [[] for _ in range(8)]
         kinds_of = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds_of, strict=True)], names=[c.split()[0] for c in _SCORED.split(", ")])
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds_of, strict=True)], names=_names(_SCORED))
 
     return run
 
@@ -291,18 +371,17 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, chunk_bytes: int =
     """
     if not 1 <= depth <= 6:
         raise ValueError("a window of depth + 1 bytes has to fit a long")
-    cut = materialise(segments(docs, F.coalesce(learn, F.lit(False)), depth, chunk_bytes))
-    seen = materialise(held(cut, depth))
-    counted = materialise(seen.where("window is not null").groupBy("window").agg(F.sum("n").alias("n")))
-    words = seen.where("word is not null").groupBy("word").agg(F.sum("n").alias("c"))
-    total, kinds = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    none = F.lit(None)
-    back = seen.where("window is not null").select("chunk", "window").join(window_logs(counted, depth), "window").select(
-        "chunk", "window", none.cast("binary").alias("word"), "value", none.cast("long").alias("n"))
-    back = back.unionByName(seen.where("word is not null").select("chunk", "word").join(words, "word").select(
-        "chunk", none.cast("long").alias("window"), "word", none.cast("double").alias("value"), F.col("c").alias("n")))
-    parts = cut.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_chunk_scores(total, kinds, depth), _SCORED)
+    cut = materialise(blocks(docs, F.coalesce(learn, F.lit(False)), depth, chunk_bytes))
+    seen = materialise(asked(cut, depth))
+    held = seen.where("windows is not null")
+    counted = materialise(counts(held))
+    # each word of a chunk with its number in all learning texts
+    words = materialise(seen.where("word is not null").select("chunk", "word", F.sum("n").over(Window.partitionBy("word")).alias("n"),
+                                                               F.row_number().over(Window.partitionBy("word").orderBy("chunk")).alias("nth")))
+    one = words.where("nth = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    back = answers(held, counted, depth).unionByName(words.select("chunk", "word", "n"), allowMissingColumns=True)
+    parts = cut.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_chunk_scores(*one, depth), _SCORED)
     summed = parts.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("learn").alias("learn"), *[F.sum(c).alias(c) for c in ("bytes", "n_tokens", "n_known", "base_score", "score")])
     bits = -F.col("score") * math.log2(10) / (F.col("bytes") + 1)
-    return summed.select("doc_id", "learn", "bytes", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
+    return summed.select("doc_id", "learn", "bytes", "n_tokens", "n_known", F.lit(one[0]).cast("long").alias("train_tokens"), "base_score", "score", bits.alias("bits_per_byte"))
