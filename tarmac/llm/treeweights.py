@@ -13,21 +13,22 @@ holds once: its windows are dealt to buckets by the two bytes before the last, p
 and answered by bucket with each window's logarithm. So distinct windows per chunk are
 shuffled instead of positions. The longest contexts are worked out inside their bucket;
 the depths above are DataFrames of nodes, one per depth: sums go up from children to
-parents, weights come down.
+parents, weights come down. The words of the base are counted and answered the same way.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import materialise, pieces, utf8
@@ -39,10 +40,13 @@ EDGE = b"\xff"
 #: Bytes of the texts of one chunk, and of one stored block of it, about.
 CHUNK_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 20
-#: Windows of a chunk that a task keeps apart before it adds up equal ones.
-KEPT = 4 << 20
-#: Buckets of windows, as a number of bits; and chunks that are answered for one bucket in a task.
+#: Windows that a task keeps apart, beyond those it has added up, before it adds up equal ones.
+KEPT = 1 << 20
+#: Bytes of texts whose words a task looks up at a time.
+LOOKED_UP = 8 << 20
+#: Buckets of windows, as a number of bits; buckets of words, numbered on from there; and chunks that one task adds up or answers for a bucket.
 BUCKET_BITS = 10
+WORD_BUCKETS = 256
 ANSWERED = 1024
 #: The word that ends each text among the base's tokens; no word is empty.
 END = b""
@@ -131,41 +135,93 @@ def _bucket(context, depth: int):
     return (((context & mask) * 40503 & 65535) >> down).astype(np.int32)
 
 
-def _distinct(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, found = pd.factorize(codes)
-    return found, np.bincount(at, counts, len(found)).astype(np.int64)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
 
-_ASKED = "chunk long, bucket int, windows binary, counts binary, word binary, n long"
+def words_of(bodies: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """(words, numbers): the words of all bodies in order, runs of bytes other than ASCII whitespace, and how many each body has."""
+    data = b" ".join([*bodies, b""])
+    space = np.concatenate([[True], _SPACE[np.frombuffer(data, np.uint8)]])
+    edges = np.flatnonzero(space[1:] != space[:-1])  # a word's start, its end, the next one's start
+    if not len(edges):
+        return pa.array([], pa.binary()), np.zeros(len(bodies), np.int64)
+    runs = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)])
+    ends = np.cumsum([len(b) + 1 for b in bodies])
+    return runs.take(pa.array(np.arange(0, len(edges), 2))), np.diff(np.searchsorted(edges[::2], ends), prepend=0)
+
+
+def _added(parts: list[tuple]) -> tuple:
+    """Equal windows, or equal words, with the sum of their numbers."""
+    if isinstance(parts[0][0], np.ndarray):
+        at, found = pd.factorize(np.concatenate([p[0] for p in parts]))
+    else:
+        coded = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
+        at, found = coded.indices.to_numpy(), coded.dictionary
+    return found, np.bincount(at, np.concatenate([p[1] for p in parts]), len(found)).astype(np.int64)
+
+
+class _Sums(list):
+    """Counted parts, added up whenever those that came since outgrow what there was."""
+
+    def __init__(self):
+        super().__init__()
+        self.known = 0
+
+    def take(self, part: tuple) -> None:
+        self.append(part)
+        if sum(len(p[0]) for p in self) > 2 * self.known + KEPT:
+            self[:] = [_added(self)]
+            self.known = len(self[0][0])
+
+    def whole(self) -> tuple:
+        out = _added(self)
+        self.clear()
+        self.known = 0
+        return out
+
+
+def _counted(codes: np.ndarray, learnt: bool) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.sort(codes)
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[first], np.diff(first, append=len(codes)) * learnt
+
+
+def _written(words: pa.BinaryArray) -> bytes:
+    return zstandard.compress(b"\n".join(words.to_pylist()), 1)
+
+
+def _read(data: bytes) -> pa.BinaryArray:
+    return pa.array(zstandard.decompress(data).split(b"\n"), pa.binary())
+
+
+_ASKED = "chunk long, bucket int, ids binary, counts binary"
 
 
 def asked(cut: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """What each chunk holds: (chunk, bucket, windows, counts), a packed row per bucket, and (chunk, word, n), a row per word.
+    """What each chunk holds, a row per bucket: packed windows, or written words, and their numbers in learning texts (maybe 0).
 
-    Counts are of learning texts only (maybe 0). A chunk that a scan cuts in two gives some rows twice, which does no harm.
+    A chunk that a scan cuts in two gives two rows of a bucket, which does no harm.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: int | None = None
-        sums: list[tuple[np.ndarray, np.ndarray]] = []
-        words: Counter[bytes] = Counter()
+        held, words = _Sums(), _Sums()
+
+        def dealt(bucket: np.ndarray, order: np.ndarray, ids, n: np.ndarray, write) -> pa.RecordBatch:
+            bucket = bucket[order]
+            edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            spans = [order[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now] * len(spans), pa.int64()), pa.array(bucket[edges[:-1]], pa.int32()),
+                 pa.array([write(ids, s) for s in spans], pa.binary()), pa.array([packed(n[s]) for s in spans], pa.binary())], _names(_ASKED))
 
         def passed() -> Iterator[pa.RecordBatch]:
-            if sums:
-                found, n = _distinct(*(np.concatenate(x) for x in zip(*sums, strict=True)))
+            if held:
+                found, n = held.whole()
                 bucket = _bucket(found >> 8, depth)
-                order = np.lexsort((found, bucket))
-                found, n, bucket = found[order], n[order], bucket[order]
-                edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
-                spans = list(zip(edges, edges[1:], strict=False))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([now] * len(spans), pa.int64()), pa.array(bucket[edges[:-1]]), pa.array([packed(found[a:b]) for a, b in spans], pa.binary()),
-                     pa.array([packed(n[a:b]) for a, b in spans], pa.binary()), pa.nulls(len(spans), pa.binary()), pa.nulls(len(spans), pa.int64())], _names(_ASKED))
-            if words:
-                blank = [pa.nulls(len(words), k) for k in (pa.int32(), pa.binary(), pa.binary())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([now] * len(words), pa.int64()), *blank, pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], _names(_ASKED))
-            sums.clear()
-            words.clear()
+                yield dealt(bucket, np.lexsort((found, bucket)), found, n, lambda ids, s: packed(ids[s]))
+                found, n = words.whole()
+                bucket = np.array([xxhash.xxh64_intdigest(w) % WORD_BUCKETS for w in found.to_pylist()]) + (1 << BUCKET_BITS)
+                yield dealt(bucket, np.argsort(bucket, kind="stable"), found, n, lambda ids, s: _written(ids.take(pa.array(s))))
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -173,34 +229,43 @@ def asked(cut: DataFrame, depth: int = DEPTH) -> DataFrame:
                 if block["chunk"] != now:
                     yield from passed()
                     now = block["chunk"]
-                bodies = _pieces_of(block)
+                bodies, learn = _pieces_of(block), np.array(block["learn"])
                 codes, ends = windows(block["before"], _ended(bodies, block["last"]), depth)
-                learnt = np.repeat(np.array(block["learn"], float), np.diff(ends, prepend=0))
-                sums.append(_distinct(codes, learnt))
-                if sum(len(s[0]) for s in sums) > KEPT:
-                    sums[:] = [_distinct(*(np.concatenate(x) for x in zip(*sums, strict=True)))]
-                for body, learn, last in zip(bodies, block["learn"], block["last"], strict=True):
-                    if learn:
-                        words.update(body.split())
-                    else:
-                        words.update(dict.fromkeys(body.split(), 0))
-                    if last:
-                        words[END] += learn
+                known = np.repeat(learn, np.diff(ends, prepend=0))
+                held.take(_counted(codes[known], True))
+                held.take(_counted(codes[~known], False))
+                found, numbers = words_of(bodies)
+                words.take(_added([(found, np.repeat(learn, numbers))]))
+                words.take((pa.array([END], pa.binary()), np.array([int((learn & np.array(block["last"])).sum())])))
         yield from passed()
 
     return cut.mapInArrow(run, _ASKED)
 
 
-def counts(held: DataFrame) -> DataFrame:
-    """(bucket, window, n): each window's number in all learning texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bucket, found, n in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                found, n = unpacked(found), unpacked(n)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), bucket, np.int32)), pa.array(found), pa.array(n)], ["bucket", "window", "n"])
+def _group(bucket: int, ids: list[bytes], counts: list[bytes]) -> tuple:
+    """The windows or words of some rows of a bucket, added up; windows rise."""
+    read = unpacked if bucket < 1 << BUCKET_BITS else _read
+    found, n = _added([(read(i), unpacked(c)) for i, c in zip(ids, counts, strict=True)])
+    if bucket < 1 << BUCKET_BITS:
+        order = np.argsort(found)
+        return found[order], n[order]
+    return found, n
+
+
+def counts(held: DataFrame, chunks: int) -> DataFrame:
+    """(bucket, ids, counts), a row per bucket: what ``asked`` gives, added up over all chunks, ``ANSWERED`` rows in a task at a time."""
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        found, n = _group(bucket, rows["ids"].to_pylist(), rows["counts"].to_pylist())
+        ids = packed(found) if bucket < 1 << BUCKET_BITS else _written(found)
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([key[1].as_py()], pa.int64()), "ids": pa.array([ids], pa.binary()), "counts": pa.array([packed(n)], pa.binary())})
 
-    rows = held.select("bucket", "windows", "counts").mapInArrow(run, "bucket int, window long, n long")
-    return rows.groupBy("bucket", "window").agg(F.sum("n").alias("n"))
+    rows, parts = held.select("bucket", F.xxhash64("chunk").alias("part"), "ids", "counts"), max(1, chunks)
+    while True:
+        parts = -(-parts // ANSWERED)
+        rows = rows.withColumn("part", F.pmod("part", F.lit(parts))).groupBy("bucket", "part").applyInArrow(run, "bucket int, part long, ids binary, counts binary")
+        if parts == 1:
+            return rows.drop("part")
 
 
 #: Stirling's series of ln of the gamma function, by falling powers of the squared inverse.
@@ -243,16 +308,16 @@ _NODES = "ctx long, p int, zeros long, ones long, below double"
 def parents(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The nodes one above the deepest, with the sums over their children. A bucket holds all children of its nodes, and at
     most so many windows as two further bytes of context and the byte itself can make for its last two bytes."""
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("window")
-        found, n = group["window"].to_numpy(), group["n"].to_numpy()
-        parts = [(key, zeros, ones, estimate(zeros, ones)) for key, zeros, ones, _, _ in _leaves(found, n, depth)]
-        key, zeros, ones, own = (np.concatenate(x) for x in zip(*parts, strict=True))
-        node, at = np.unique(key, return_inverse=True)
-        sums = [np.bincount(at, x, len(node)) for x in (zeros, ones, own)]
-        return pa.table([pa.array(node >> 8), pa.array((node & 255).astype(np.int32)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2])], names=_names(_NODES))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, n in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                parts = [(key, zeros, ones, estimate(zeros, ones)) for key, zeros, ones, _, _ in _leaves(unpacked(ids), unpacked(n), depth)]
+                key, zeros, ones, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+                node, at = np.unique(key, return_inverse=True)
+                sums = [np.bincount(at, x, len(node)) for x in (zeros, ones, own)]
+                yield pa.RecordBatch.from_arrays([pa.array(node >> 8), pa.array((node & 255).astype(np.int32)), *[pa.array(x.astype(np.int64)) for x in sums[:2]], pa.array(sums[2])], _names(_NODES))
 
-    return counted.groupBy("bucket").applyInArrow(run, _NODES)
+    return counted.where(F.col("bucket") < 1 << BUCKET_BITS).select("ids", "counts").mapInArrow(run, _NODES)
 
 
 def tree(lowest: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
@@ -292,43 +357,44 @@ def chances(levels: list[DataFrame]) -> DataFrame:
     return ahead
 
 
-def _logs(group: pa.Table, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(windows, log10 of the probability of their last byte) of one bucket; rows with a ``p`` are the parents of its deepest nodes."""
-    inner = group["p"].is_valid().to_numpy()
-    code, n = group["code"].to_numpy(), group["n"].to_numpy()
-    order = np.argsort(code[~inner])
-    found, n = code[~inner][order], n[~inner][order].astype(np.int64)
-    key = code[inner] << 8 | group["p"].to_numpy()[inner].astype(np.int64)
+def _logs(found: np.ndarray, n: np.ndarray, upper: pa.Table, depth: int) -> np.ndarray:
+    """log10 of the probability of each window's last byte, in one bucket; ``upper`` has the parents of its deepest nodes."""
+    key = upper["ctx"].to_numpy() << 8 | upper["p"].to_numpy().astype(np.int64)
     order = np.argsort(key)
-    key, added, left = key[order], group["added"].to_numpy()[inner][order], group["left"].to_numpy()[inner][order]
+    key, added, left = key[order], upper["added"].to_numpy()[order], upper["left"].to_numpy()[order]
     total = np.zeros(len(found))
     for parent, zeros, ones, node, bit in _leaves(found, n, depth):
         at = np.searchsorted(key, parent)
         one = added[at] + left[at] * (ones + 0.5) / (zeros + ones + 1.0)
         total += np.log10(np.where(bit == 1, one[node], 1 - one[node]))
-    return found, total
-
-
-def answers(held: DataFrame, counted: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(chunk, windows, values): the chunks' packed windows, and log10 of the probability of each window's last byte after the bytes before."""
-    none = F.lit(None)
-    known = counted.select("bucket", F.col("window").alias("code"), "n", none.cast("int").alias("p"), none.cast("double").alias("added"), none.cast("double").alias("left"))
-    upper = chances(tree(parents(counted, depth), depth))
-    known = known.unionByName(upper.select(_bucket(F.col("ctx"), depth).alias("bucket"), F.col("ctx").alias("code"), none.cast("long").alias("n"), "p", "added", "left"))
-    chunks = held.select("chunk").distinct().count()
-    salts = -(-chunks // ANSWERED)  # a bucket's chunks are answered in so many tasks
-    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(max(0, salts - 1)))))
-    wanted = held.select("bucket", F.pmod(F.xxhash64("chunk"), F.lit(max(1, salts))).cast("int").alias("salt"), "chunk", "windows")
-
-    def run(model: pa.Table, rows: pa.Table) -> pa.Table:
-        found, logs = _logs(model, depth)
-        values = [logs[np.searchsorted(found, unpacked(w))].tobytes() for w in rows["windows"].to_pylist()]
-        return pa.table({"chunk": rows["chunk"], "windows": rows["windows"], "values": pa.array(values, pa.binary())})
+    return total
+
+
+def answers(held: DataFrame, counted: DataFrame, chunks: int, depth: int = DEPTH) -> DataFrame:
+    """(chunk, bucket, ids, values): for the rows of ``asked`` log10 of the probability of each window's last byte after the bytes
+    before, or each word's number in all learning texts."""
+    upper = chances(tree(parents(counted, depth), depth)).select(_bucket(F.col("ctx"), depth).alias("bucket"), "ctx", "p", "added", "left")
+    known = counted.unionByName(upper, allowMissingColumns=True)
+    salts = max(1, -(-chunks // ANSWERED))  # a bucket's chunks are answered in so many tasks
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    wanted = held.select("bucket", F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int").alias("salt"), "chunk", "ids")
+
+    def run(key: tuple, model: pa.Table, rows: pa.Table) -> pa.Table:
+        bucket, one = key[0].as_py(), model.filter(model["ids"].is_valid()).to_pylist()[0]
+        if bucket < 1 << BUCKET_BITS:
+            found, n = unpacked(one["ids"]), unpacked(one["counts"])
+            logs = _logs(found, n, model.filter(model["p"].is_valid()), depth)
+            values = [logs[np.searchsorted(found, unpacked(i))].tobytes() for i in rows["ids"].to_pylist()]
+        else:
+            found, n = _read(one["ids"]), unpacked(one["counts"])
+            values = [packed(n[pc.index_in(_read(i), value_set=found).to_numpy()]) for i in rows["ids"].to_pylist()]
+        return pa.table({"chunk": rows["chunk"], "bucket": rows["bucket"], "ids": rows["ids"], "values": pa.array(values, pa.binary())})
 
-    return known.groupBy("bucket", "salt").cogroup(wanted.groupBy("bucket", "salt")).applyInArrow(run, "chunk long, windows binary, values binary")
+    return known.groupBy("bucket", "salt").cogroup(wanted.groupBy("bucket", "salt")).applyInArrow(run, "chunk long, bucket int, ids binary, values binary")
 
 
 _SCORED = "row long, doc_id long, learn boolean, bytes long, n_tokens long, n_known long, base_score double, score double"
+_SCORED_KINDS = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
 
 
 def _chunk_scores(total: int, kinds: int, depth: int):
@@ -336,30 +402,55 @@ def _chunk_scores(total: int, kinds: int, depth: int):
     rest = math.log10(total + kinds + 1)
 
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        some = known.filter(known["windows"].is_valid())
-        codes = np.concatenate([np.empty(0, np.int64), *map(unpacked, some["windows"].to_pylist())])
+        bucket = known["bucket"].to_numpy()
+        some = known.filter(pa.array(bucket < 1 << BUCKET_BITS))
+        codes = np.concatenate([np.empty(0, np.int64), *map(unpacked, some["ids"].to_pylist())])
         values = np.frombuffer(b"".join(some["values"].to_pylist()), np.float64)
         codes, first = np.unique(codes, return_index=True)
         index, values = pd.Index(codes), values[first]
-        some = known.filter(known["word"].is_valid())
-        logs = dict(zip(some["word"].to_pylist(), (np.log10(some["n"].to_numpy() + 1.0) - rest).tolist(), strict=True))
-        out: list[tuple] = []
+        some = known.filter(pa.array(bucket >= 1 << BUCKET_BITS))
+        names = pa.concat_arrays([pa.array([], pa.binary()), *map(_read, some["ids"].to_pylist())])
+        n = np.concatenate([np.empty(0, np.int64), *map(unpacked, some["values"].to_pylist())])
+        logs, end = np.log10(n + 1.0) - rest, pc.index(names, END).as_py()
+        out: list[pa.Table] = []
+        waiting: list[dict] = []
+
+        def scored() -> None:
+            bodies = [b for block in waiting for b in block["bodies"]]
+            words, numbers = words_of(bodies)
+            at = pc.index_in(words, value_set=names).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(numbers)
+            base, seen = (np.concatenate([[0], np.cumsum(x[at])])[np.concatenate([[0], ends])] for x in (logs, n > 0))
+            last = np.array([x for block in waiting for x in block["last"]], bool)
+            columns = [
+                *[pa.array([x for block in waiting for x in block[c]], k) for c, k in (("row", pa.int64()), ("doc_id", pa.int64()), ("learn", pa.bool_()))],
+                pa.array([len(b) for b in bodies], pa.int64()), pa.array(numbers + last, pa.int64()), pa.array(np.diff(seen) + last * (n[end] > 0), pa.int64()),
+                pa.array(np.diff(base) + last * logs[end]), pa.array(np.concatenate([block["score"] for block in waiting]))]
+            out.append(pa.table(columns, names=_names(_SCORED)))
+            waiting.clear()
+
         for k in range(texts.num_rows):
             block = texts.slice(k, 1).to_pylist()[0]
             bodies = _pieces_of(block)
             found, ends = windows(block["before"], _ended(bodies, block["last"]), depth)
-            sums = np.concatenate([[0.0], np.cumsum(values[index.get_indexer(found)])])[np.concatenate([[0], ends])]
-            for row, doc_id, learn, last, body, score in zip(block["row"], block["doc_id"], block["learn"], block["last"], bodies, np.diff(sums).tolist(), strict=True):
-                words = [logs[w] for w in body.split()] + [logs[END]] * last
-                # a word never learnt has a count of 0, whose logarithm is 0
-                out.append((row, doc_id, learn, len(body), len(words), sum(x != -rest for x in words), math.fsum(words), score))
-        columns = list(zip(*out, strict=True)) if out else [[] for _ in range(8)]
-        kinds_of = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds_of, strict=True)], names=_names(_SCORED))
+            sums = np.concatenate([[0.0], np.cumsum(values[index.get_indexer(found)])])
+            waiting.append({**block, "bodies": bodies, "score": np.diff(sums[np.concatenate([[0], ends])])})
+            if sum(sum(b["size"]) for b in waiting) >= LOOKED_UP:
+                scored()
+        if waiting:
+            scored()
+        return pa.concat_tables(out) if out else pa.table([pa.array([], k) for k in _SCORED_KINDS], names=_names(_SCORED))
 
     return run
 
 
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words the learning texts have, and how many different ones, by bucket."""
+    for batch in batches:
+        n = [unpacked(x) for x in batch.column("counts").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([int(x.sum()) for x in n], pa.int64()), pa.array([int((x > 0).sum()) for x in n], pa.int64())], ["total", "kinds"])
+
+
 def score(docs: DataFrame, learn: Column, depth: int = DEPTH, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, learn, bytes, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row of ``docs`` (doc_id, text).
 
@@ -372,15 +463,12 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, chunk_bytes: int =
     if not 1 <= depth <= 6:
         raise ValueError("a window of depth + 1 bytes has to fit a long")
     cut = materialise(blocks(docs, F.coalesce(learn, F.lit(False)), depth, chunk_bytes))
-    seen = materialise(asked(cut, depth))
-    held = seen.where("windows is not null")
-    counted = materialise(counts(held))
-    # each word of a chunk with its number in all learning texts
-    words = materialise(seen.where("word is not null").select("chunk", "word", F.sum("n").over(Window.partitionBy("word")).alias("n"),
-                                                               F.row_number().over(Window.partitionBy("word").orderBy("chunk")).alias("nth")))
-    one = words.where("nth = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    back = answers(held, counted, depth).unionByName(words.select("chunk", "word", "n"), allowMissingColumns=True)
-    parts = cut.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_chunk_scores(*one, depth), _SCORED)
+    held = materialise(asked(cut, depth))
+    chunks = held.select("chunk").distinct().count()
+    counted = materialise(counts(held, chunks))
+    one = counted.where(F.col("bucket") >= 1 << BUCKET_BITS).mapInArrow(_totals, "total long, kinds long").agg(
+        F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    parts = cut.groupBy("chunk").cogroup(answers(held, counted, chunks, depth).groupBy("chunk")).applyInArrow(_chunk_scores(*one, depth), _SCORED)
     summed = parts.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("learn").alias("learn"), *[F.sum(c).alias(c) for c in ("bytes", "n_tokens", "n_known", "base_score", "score")])
     bits = -F.col("score") * math.log2(10) / (F.col("bytes") + 1)

@@ -80,17 +80,25 @@ def test_scores_equal_the_recursion(spark, depth):
 
 def test_a_node_predicts_a_distribution(spark):
     """The chances of all next bytes in a seen and an unseen context add up to one."""
-    codes = [(int.from_bytes(c + bytes([x]), "big"), 3 if c == b"ab" and x in b"cd" else 0) for c in (b"ab", b"zz") for x in range(256)]
-    found = np.array(sorted(c for c, _ in codes))
-    counted = spark.createDataFrame([(int(treeweights._bucket(np.array([c >> 8]), 2)[0]), c, n) for c, n in codes], "bucket int, window long, n long")
-    held = spark.createDataFrame([(1, b, treeweights.packed(found[treeweights._bucket(found >> 8, 2) == b])) for b in set(treeweights._bucket(found >> 8, 2).tolist())], "chunk long, bucket int, windows binary")
+    codes = {int.from_bytes(c + bytes([x]), "big"): 3 if c == b"ab" and x in b"cd" else 0 for c in (b"ab", b"zz") for x in range(256)}
+    found = np.array(sorted(codes))
+    bucket = treeweights._bucket(found >> 8, 2)
+    rows = [(1, int(b), treeweights.packed(found[bucket == b]), treeweights.packed(np.array([codes[c] for c in found[bucket == b].tolist()]))) for b in set(bucket.tolist())]
+    held = spark.createDataFrame(rows, "chunk long, bucket int, ids binary, counts binary")
     sums = defaultdict(float)
-    for r in treeweights.answers(held, counted, depth=2).collect():
-        for code, value in zip(treeweights.unpacked(r.windows).tolist(), np.frombuffer(r["values"], float), strict=True):
+    for r in treeweights.answers(held, treeweights.counts(held, 1), 1, depth=2).collect():
+        for code, value in zip(treeweights.unpacked(r.ids).tolist(), np.frombuffer(r["values"], float), strict=True):
             sums[code >> 8] += 10 ** value
     assert list(sums.values()) == pytest.approx([1, 1], abs=1e-12)
 
 
+def test_words_of():
+    bodies = [b"  a bb\tccc", b"", b"\n \x0b", "é\u00a0x y ".encode(), b"z"]
+    words, numbers = treeweights.words_of(bodies)
+    assert words.to_pylist() == [w for b in bodies for w in b.split()] and numbers.tolist() == [len(b.split()) for b in bodies]
+    assert treeweights.words_of([b"", b" "])[1].tolist() == [0, 0]
+
+
 def test_packing_round_trip():
     for numbers in ([], [0], [5, 5, 9, 1 << 47], [7, -3, (1 << 56) - 1]):
         assert treeweights.unpacked(treeweights.packed(np.array(numbers, np.int64))).tolist() == numbers
