@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontam, mixing, near_copies, pii, quality
+from tarmac.llm import decontam, mixing, pii, quality, simhash
 from tarmac.llm.common import fold_of, materialise, table
 
 
@@ -22,8 +22,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at similarity 0.8 or more."""
-    return near_copies.one_of_each(docs)
+    """One document of each group linked by SimHash fingerprints of three-word shingles at three bits or fewer."""
+    return simhash.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: SQL cannot state the fitted classifier, the sketches or the message passing.
+#: SQL cannot state the fitted classifier, the fingerprints' components or the message passing.
 ORACLE_SQL = None
 
 
