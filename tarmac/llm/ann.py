@@ -119,6 +119,8 @@ def build(vectors: DataFrame, dims: int, cells: int = 32, sample: int = 8192) ->
 def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest entries found for each row of ``queries`` (vec_id, vector), itself left out.
 
+    Rows alike are one query; of several vectors under one vec_id each is a query. Other columns of ``queries`` are not read.
+
     A query visits the nearest ``visit`` of the cells that hold entries, and goes on until
     these hold ``k`` entries besides its own or no cell is left; all entries of a visited
     cell are ranked, however many. Ties go to the smaller vec_id.
@@ -132,7 +134,7 @@ def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -
             if not batch.num_rows:
                 continue
             out: list[tuple] = []
-            for q, (vector, own) in enumerate(zip(_matrix(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
+            for q, (vector, own) in enumerate(zip(_matrix(batch.column(2)), batch.column(3).to_pylist(), strict=True)):
                 blocks: dict[int, list[int]] = {}
                 left, lacking = visited, k + own
                 for cell in traversal(vector, halves):
@@ -145,21 +147,22 @@ def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -
                         if left <= 0 and lacking <= 0:
                             break
                 out += [(q, b, cells) for b, cells in blocks.items()]
-            picked = batch.select([0, 1]).take(pa.array([o[0] for o in out], pa.int64()))
+            picked = batch.select([0, 1, 2]).take(pa.array([o[0] for o in out], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*picked.columns, pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.list_(pa.int32()))],
-                ["query_id", "query", "block", "cells"])
+                ["no", "query_id", "query", "block", "cells"])
 
-    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query")).distinct()
     own = index.entries.select(F.col("vec_id").alias("query_id")).join(asked.select("query_id"), "query_id", "left_semi").groupBy("query_id").agg(F.count("*").alias("own"))
-    asked = asked.join(own, "query_id", "left").select("query_id", "query", F.coalesce("own", F.lit(0)).alias("own"))
-    parts = max(1, -(-queries.count() // QUERY_ROWS))
-    planned = asked.mapInArrow(plan, f"query_id long, query {kind}, block int, cells array<int>").withColumn(
-        "part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+    asked = materialise(asked.join(own, "query_id", "left").select(
+        F.monotonically_increasing_id().alias("no"), "query_id", "query", F.coalesce("own", F.lit(0)).alias("own")))
+    parts = max(1, -(-asked.count() // QUERY_ROWS))
+    planned = asked.mapInArrow(plan, f"no long, query_id long, query {kind}, block int, cells array<int>").withColumn(
+        "part", F.pmod(F.xxhash64("no"), F.lit(parts)).cast("int"))
     entries = index.entries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def rank(held: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, int, float]] = []
         if len(held) and len(wanted):
             m, ids, cell = np.array(held["vector"].tolist(), np.float64), held["vec_id"].to_numpy(), held["cell"].to_numpy()
             known, slot = np.unique(cell, return_inverse=True)
@@ -167,16 +170,16 @@ def search(index: Index, queries: DataFrame, k: int = 20, visit: float = 0.75) -
                 some = wanted.iloc[start:start + 256]
                 q = np.array(some["query"].tolist(), np.float64)
                 scores = q @ m.T
-                for row, (query_id, cells) in enumerate(zip(some["query_id"], some["cells"], strict=True)):
+                for row, (no, query_id, cells) in enumerate(zip(some["no"], some["query_id"], some["cells"], strict=True)):
                     s = np.where(np.isin(known, cells)[slot] & (ids != query_id), scores[row], -np.inf)
                     keep = min(k, len(s))
                     least = np.partition(s, len(s) - keep)[len(s) - keep]
                     near = np.flatnonzero((s >= least - 1e-9 * (1 + abs(least))) & (s > -np.inf)) if least > -np.inf else np.flatnonzero(s > -np.inf)
                     exact = (m[near] * q[row]).sum(axis=1)  # the same order of additions for equal vectors
                     best = np.lexsort((ids[near], -exact))[:k]
-                    out += [(query_id, ids[near[b]], exact[b]) for b in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                    out += [(no, query_id, ids[near[b]], exact[b]) for b in best]
+        return pd.DataFrame(out, columns=["no", "query_id", "vec_id", "score"])
 
-    near = entries.groupBy("block", "part").cogroup(planned.groupBy("block", "part")).applyInPandas(rank, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    near = entries.groupBy("block", "part").cogroup(planned.groupBy("block", "part")).applyInPandas(rank, "no long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("no").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
