@@ -54,7 +54,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, per_cl
 
     ``keep`` is the condition on doc_id that says which rows may be learnt from. Rows
     without a label of 0 or 1 are left out; of a doc_id labelled twice the larger
-    counts. Copies would count for many: of texts with one smallest shingle hash the first is taken.
+    counts; of several texts under it the one with the smallest hash. Copies would count for many: of texts with one
+    smallest shingle hash the first is taken.
     """
     rows = (labels.where(F.col(label).isin(0, 1) & keep).groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
     chosen = None
@@ -62,8 +63,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, per_cl
         part = rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select("doc_id", utf8(F.col("text")).alias("b")).where(F.length("b").between(1, max_bytes))
-    # at most 2 * per_class ids
-    found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "b").collect()
+    # at most 2 * per_class ids, and one text of each
+    one = F.min_by("b", F.struct(F.xxhash64("b"), "b")).alias("b")
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(one).collect()
     once: dict[tuple, tuple[bytes, int]] = {}
     for r in sorted(found, key=lambda r: (r.doc_id, bytes(r.b))):
         once.setdefault((_sketch(bytes(r.b)), r.y), (bytes(r.b), r.y))
