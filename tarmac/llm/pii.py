@@ -223,7 +223,7 @@ def beliefs(g: Graph, model: Model, rounds: int | None = None, settled: float =
 
     Without ``rounds`` messages pass until those of a document change by less than
     ``settled``, for at most 64 rounds and four more for each token of the longest document:
-    damped by half, a message needs about two for each link.
+    damped by half, a message needs about two for each link. Messages that have not settled by then count as they are.
     """
     unary = g.features @ model.node
     fixed = g.seen >= 0
@@ -303,10 +303,10 @@ _FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string
 
 def train(docs: DataFrame, rows: int = 4000, max_bytes: int = 65_536) -> Model:
     """Fits on at most ``rows`` texts of at most ``max_bytes`` bytes that hold a digit or an ``@``, the same ones on each run."""
-    texts = docs.where((F.octet_length("text") <= max_bytes) & F.col("text").rlike("[0-9@]"))
-    chosen = texts.select(F.xxhash64("text").alias("h"), F.length("text").alias("n"), "doc_id").distinct().orderBy("h", "n", "doc_id").limit(rows)
-    # at most `rows` ids
-    found = docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").where(F.octet_length("text") <= max_bytes).select("text").distinct().collect()
+    texts = docs.where((F.octet_length("text") <= max_bytes) & F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), F.length("text").alias("n"), "doc_id", "text")
+    chosen = texts.select("h", "n", "doc_id").distinct().orderBy("h", "n", "doc_id").limit(rows).select("h", "n").distinct()
+    # at most `rows` texts, however many rows share an id or a text
+    found = texts.join(F.broadcast(chosen), ["h", "n"]).select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(rows).collect()
     return fit(sorted(r.text for r in found))
 
 
