@@ -1,11 +1,12 @@
 """Groups spelling variants: words one edit apart, each led to its commonest neighbour.
 
-The words are cut into blocks by length. Of two blocks of one length, or of lengths one
-apart, a task multiplies the letter-count matrices: ``|a|^2 + |b|^2 - 2 ab`` are all
-squared distances of letter counts at once. An inserted or deleted letter makes the
-distance 1 and a replaced one 2, so pairs above two are dropped; the rest are compared
-letter by letter. A task returns, for each word, how many neighbours it met and the
-commonest of them, never the pairs.
+The words are cut into blocks by length, each packed into one row. Of two blocks of one
+length, or of lengths one apart, a task multiplies the letter-count matrices, with the
+squared lengths as two further columns: ``|a|^2 + |b|^2 - 2 ab`` are all squared distances
+of letter counts at once. An inserted or deleted letter makes the distance 1 and a
+replaced one 2, so pairs above two are dropped; the rest are compared letter by letter.
+A task returns, for each word, how many neighbours it met and the commonest of them, never
+the pairs.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ RATIO = 5
 #: One in this many runs of a document loses a letter, by the hash of the two.
 DAMAGED = 199
 #: Words of one block at most, and letters of it.
-BLOCK_WORDS = 2048
+BLOCK_WORDS = 8192
 BLOCK_LETTERS = 1 << 22
 #: Words that a task counts before it passes the counts on.
 COUNTED = 200_000
@@ -84,11 +84,11 @@ def _letters(rows: list[str]) -> np.ndarray:
 
 
 def _counts(letters: np.ndarray) -> np.ndarray:
-    """Letter counts of each word. Whole numbers: in single precision exact while the squared lengths are below 2**24."""
+    """Letter counts of each word in 32 columns. Letters that share a column only bring counts nearer, so no pair is lost.
+    Whole numbers: in single precision exact while two squared lengths are below 2**24."""
     n, length = letters.shape
-    spots = (np.arange(n)[:, None] * 256 + letters).ravel()
-    full = np.bincount(spots, minlength=n * 256).reshape(n, 256)
-    return full[:, 0x61:].astype(np.float32 if length < 2048 else np.float64)
+    spots = (np.arange(n)[:, None] * 32 + (letters & 31)).ravel()
+    return np.bincount(spots, minlength=n * 32).reshape(n, 32).astype(np.float32 if length < 2000 else np.float64)
 
 
 def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -100,16 +100,16 @@ def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return head + tail >= a.shape[1]
 
 
-def near_pairs(left: list[str], right: list[str] | None, rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_pairs(left: list[str], right: list[str] | None, rows: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs one edit apart: within ``left``, or between it and ``right`` of the same length or one letter longer."""
     a = _letters(left)
     b = a if right is None else _letters(right)
     x, y = _counts(a), _counts(b)
-    x2, y2 = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    x = np.column_stack([-2 * x, (x * x).sum(axis=1), np.ones(len(x), x.dtype)])
+    y = np.column_stack([y, np.ones(len(y), y.dtype), (y * y).sum(axis=1)]).T.copy()
     step = max(1, (1 << 22) // max(1, a.shape[1]))
     for start in range(0, len(a), rows):
-        distance = x2[start:start + rows, None] + y2 - 2 * (x[start:start + rows] @ y.T)
-        i, j = np.nonzero(distance <= 2)
+        i, j = np.divmod(np.flatnonzero(x[start:start + rows] @ y <= 2), len(b))
         i += start
         if right is None:
             i, j = i[i < j], j[i < j]
@@ -119,28 +119,26 @@ def near_pairs(left: list[str], right: list[str] | None, rows: int = 256) -> Ite
             yield p[fine], q[fine]
 
 
-def _met(group: pd.DataFrame) -> pd.DataFrame:
-    """(word, n_near, best_n, best) of the words of a pair of blocks that have neighbours in it."""
-    first = group["side"].to_numpy() == 0
-    names, n = group["word"].to_numpy(), group["n"].to_numpy()
-    own, other = np.flatnonzero(first), np.flatnonzero(~first)
-    if bool(group["alone"].iloc[0]):
-        other = own
-        pairs = near_pairs(names[own].tolist(), None) if len(own) > 1 else ()
-    else:
-        pairs = near_pairs(names[own].tolist(), names[other].tolist()) if len(own) and len(other) else ()
-    met: dict[int, list] = {}
-    for i, j in pairs:
-        for u, v in ((own[i], other[j]), (other[j], own[i])):
-            for s, t in zip(u.tolist(), v.tolist(), strict=True):
-                seen = met.get(s)
-                if seen is None:
-                    met[s] = [1, -n[t], names[t]]
-                else:
-                    seen[0] += 1
-                    if (-n[t], names[t]) < (seen[1], seen[2]):
-                        seen[1:] = -n[t], names[t]
-    return pd.DataFrame([(names[s], c, -m, w) for s, (c, m, w) in met.items()], columns=["word", "n_near", "best_n", "best"])
+_MET = "word string, n_near long, best_n long, best string"
+
+
+def _met(group: pa.Table) -> pa.Table:
+    """What the words of a pair of blocks, the shorter words first, or of one block alone, met in it."""
+    blocks = sorted(group.to_pylist(), key=lambda r: r["side"])
+    names = [r["words"].split("\n") for r in blocks]
+    pairs = list(near_pairs(names[0], names[1] if len(names) > 1 else None)) if len(blocks) > 1 or blocks[0]["alone"] else []
+    flat = np.array([w for block in names for w in block], object)
+    n = np.concatenate([np.array(r["n"], np.int64) for r in blocks])
+    i, j = (np.concatenate([np.empty(0, np.int64), *(p[k] for p in pairs)]) for k in (0, 1))
+    j += len(names[0]) if len(names) > 1 else 0
+    own, other = np.concatenate([i, j]), np.concatenate([j, i])
+    place = np.empty(len(flat), np.int64)
+    place[np.argsort(flat)] = np.arange(len(flat))  # by code points
+    order = np.lexsort((place[other], -n[other], own))
+    own, other = own[order], other[order]
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    columns = [flat[own[first]].tolist(), np.diff(first, append=len(own)), n[other[first]], flat[other[first]].tolist()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["word", "n_near", "best_n", "best"])
 
 
 def neighbours(counted: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -157,6 +155,9 @@ def neighbours(counted: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     shorter = lengths.select((F.col("length") + 1).alias("length"), F.col("parts").alias("shorter"))
     around = lengths.join(longer, "length", "left").join(shorter, "length", "left").na.fill(0)
     placed = sized.join(around, "length").withColumn("part", F.pmod(F.xxhash64("word"), "parts").cast("int"))
+    # a row per block
+    packed = placed.groupBy("length", "part", "parts", "longer", "shorter").agg(F.collect_list(F.struct("word", "n")).alias("held")).withColumns(
+        {"words": F.array_join("held.word", "\n"), "n": F.col("held.n")})
 
     def spread(parts, make):
         """A struct (low, a, b, gap, side, alone) for each block that the word's block meets."""
@@ -169,8 +170,8 @@ def neighbours(counted: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     same = spread(F.col("parts"), lambda k: meeting(length, F.least(part, k), F.greatest(part, k), 0, (part > k).cast("int"), part == k))
     up = spread(F.col("longer"), lambda k: meeting(length, part, k, 1, F.lit(0), no))
     down = spread(F.col("shorter"), lambda k: meeting(length - 1, k, part, 1, F.lit(1), no))
-    rows = placed.select("word", "n", F.explode(F.concat(same, up, down)).alias("at")).select("word", "n", "at.*")
-    found = rows.groupBy("low", "a", "b", "gap").applyInPandas(_met, "word string, n_near long, best_n long, best string")
+    rows = packed.select("words", "n", F.explode(F.concat(same, up, down)).alias("at")).select("words", "n", "at.*")
+    found = rows.groupBy("low", "a", "b", "gap").applyInArrow(_met, _MET)
     # the smallest of (-n, word) is the commonest neighbour, ties to the smaller word
     best = F.min(F.struct((-F.col("best_n")).alias("m"), "best")).alias("least")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select(
