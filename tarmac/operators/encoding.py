@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.functions import delays
+from tarmac.operators import lookups
 from tarmac.session import BROADCAST_BYTES, BROADCAST_ROWS, materialise
 
 NEUTRAL_OTP = 0.5
@@ -45,10 +46,16 @@ def frequency_statistics(train: DataFrame, sources: Sequence[str] = tuple(schema
 
 
 def _key_statistics(train: DataFrame, late: Column, sources: Sequence[str]) -> DataFrame:
+    return statistics_by(train, late, [], sources)
+
+
+def statistics_by(train: DataFrame, late: Column, by: Sequence[str],
+                  sources: Sequence[str] = tuple(schema.FREQUENCY_FEATURES)) -> DataFrame:
+    """Counts per (by, source, key); ``late`` is the 0/1 target, or null where there is none."""
     flown = delays.is_operated()
-    narrow = train.select(*sources, flown.alias("_flown"), F.when(flown, late).alias("_late"))
-    long = narrow.unpivot(["_flown", "_late"], list(sources), "source", "key")
-    return long.groupBy("source", "key").agg(
+    narrow = train.select(*by, *sources, flown.alias("_flown"), F.when(flown, late).alias("_late"))
+    long = narrow.unpivot([*by, "_flown", "_late"], list(sources), "source", "key")
+    return long.groupBy(*by, "source", "key").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("_flown")).alias("n_operated"),
         F.count("_late").alias("n_labelled"),
@@ -131,15 +138,14 @@ class Encodings:
         """Left join one source's columns, e.g. ``freq="ORIGIN_FREQ"``.
 
         The key table is broadcast while its counted rows and the bytes of its keys
-        stay under their limits. Beyond them the join is shuffled, and adaptive execution splits the hot keys
-        of the fact side.
+        stay under their limits. Beyond them rows and keys are shuffled, heavy keys under salts.
         """
         table = self.known_keys(source).select(
             "_key", *[F.col(kind).alias(column) for kind, column in columns.items()])
         totals = self.totals.get(source)
         if totals is None or (totals["keys"] <= BROADCAST_ROWS and (totals["bytes"] or 0) <= BROADCAST_BYTES):
-            table = F.broadcast(table)
-        return df.join(table, F.col(source) == F.col("_key"), "left").drop("_key")
+            return df.join(F.broadcast(table), F.col(source) == F.col("_key"), "left").drop("_key")
+        return lookups.left_lookup(df, table, source)
 
 
 def _encode(df: DataFrame, maps: Encodings, frequency: bool, history: bool) -> DataFrame:
