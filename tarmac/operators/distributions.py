@@ -4,49 +4,29 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import schema
 from tarmac.functions import delays
+from tarmac.operators.moments import correlations
 from tarmac.operators.ranks import quantiles
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = schema.CORRELATION_COLUMNS) -> DataFrame:
-    """Pearson r of every ordered pair, each over rows where both are known.
+    """Pearson r of every ordered pair, each over rows where both are known, from one scan.
 
-    One scan: a row is spread to its pairs, which are combined map-side, so a row per
-    pair and task is shuffled. (All pairs as columns of one aggregate make a method
-    too large for the JVM to compile.)
+    A column agrees with itself unless it is constant or empty.
     """
-    columns = [c for c in columns if c in df.columns]
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    cells = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("_v"))
-    spread = cells.select("_v", F.explode(F.lit(list(range(len(pairs))))).alias("_pair"))
-
-    def side(k):
-        at = F.element_at(F.lit([p[k] + 1 for p in pairs]), F.col("_pair") + 1)
-        return F.element_at("_v", at)
-
-    # A column agrees with itself unless it is constant or empty.
-    measured = spread.select("_pair", side(0).alias("a"), side(1).alias("b")).groupBy("_pair").agg(
-        F.corr("a", "b").alias("_r"), F.var_pop("a").alias("_spread"))
-    names = F.lit(columns)
-    left, right = (F.element_at(names, F.element_at(F.lit([p[k] + 1 for p in pairs]), F.col("_pair") + 1)) for k in (0, 1))
-    named = measured.select(left.alias("x"), right.alias("y"), "_r", "_spread")
-    ways = F.array(F.struct(F.col("x"), F.col("y")), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    r = F.when(F.col("x") == F.col("y"), F.when(F.col("_spread") > 0, F.lit(1.0))).otherwise(F.col("_r"))
-    return named.select(F.explode(F.array_distinct(ways)).alias("_way"), r.alias("r")).select("_way.x", "_way.y", "r")
+    half = correlations(df, [c for c in columns if c in df.columns])
+    return half.unionByName(half.filter("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
 
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str = schema.TARGET) -> DataFrame:
-    """Absolute correlation of each feature with the target, strongest first."""
-    y = F.col(target).cast("double")
-    one = df.agg(*[F.abs(F.corr(F.col(c).cast("double"), y)).alias(c) for c in features])
-    long = one.unpivot([], list(features), "feature", "abs_corr")
-    return long.orderBy(F.col("abs_corr").desc_nulls_last(), "feature")
+    """Absolute correlation of each feature with the target, strongest first; null for one without spread."""
+    pairs = correlations(df, [*features, target]).filter((F.col("y") == target) & (F.col("x") != target))
+    return pairs.select(F.col("x").alias("feature"), F.abs("r").alias("abs_corr")).orderBy(F.col("abs_corr").desc_nulls_last(), "feature")
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
