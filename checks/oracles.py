@@ -311,6 +311,7 @@ ORACLES: dict[str, str] = {
     "p20_median_fill": _q(CLEAN + _MEDIANS, "SELECT YEAR, ORIGIN, " + ", ".join(
         _FILL.format(c=c) for c in ("DEP_DELAY", "TAXI_OUT", "CRS_DEP_TIME_MIN")) + " FROM clean"),
     "j01_frequency_encode": _q(MAPS, f"SELECT {_KEY}, " + _six("OP_CARRIER_FREQ, ORIGIN_FREQ, DEST_FREQ, ROUTE_FREQ, DEP_TIME_BLK_FREQ").replace("round(", "round(1.0::DOUBLE * ") + " FROM enc"),
+    "j01_salted_lookup": _q(MAPS, f"SELECT {_KEY}, " + _six("OP_CARRIER_FREQ, ORIGIN_FREQ, DEST_FREQ, ROUTE_FREQ, DEP_TIME_BLK_FREQ").replace("round(", "round(1.0::DOUBLE * ") + " FROM enc"),
     "j02_history_encode": _q(MAPS, f"SELECT {_KEY}, " + _six("ORIGIN_HIST_OTP, CARRIER_HIST_OTP").replace("round(", "round(1.0::DOUBLE * ") + " FROM enc"),
     "j03_unseen_audit": _q(MAPS, _audit("")),
     "j03_unseen_audit_2025": _q(MAPS, _audit("AND YEAR = 2025")),
@@ -456,6 +457,12 @@ ORACLES |= {
     "io03_header_names": _q(RAW, "SELECT CAST(YEAR AS VARCHAR) AS YEAR, OP_CARRIER, format('{:.1f}', ARR_DELAY) AS ARR_DELAY FROM raw"),
     "io05_required_columns": _q(RAW, "SELECT 'required columns missing from input: DIVERTED' AS message, count(*) AS n FROM raw"),
     "io09_partition_overwrite": _q(OP, "SELECT YEAR, count(*) AS n FROM op WHERE YEAR < 2025 OR ORIGIN = 'N99' GROUP BY YEAR"),
+    "io12_changed_files": _q(CLEAN + ", left_over AS (SELECT * FROM clean WHERE YEAR IN (2023, 2024) OR (YEAR = 2022 AND DAY_OF_MONTH <= 15))",
+        " UNION ALL ".join(f"""SELECT '{c}' AS source, {c} AS key, count(*) AS n_rows,
+          count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS n_operated,
+          count(ARR_DEL15) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS n_labelled,
+          CAST(coalesce(sum(ARR_DEL15) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0), 0) AS BIGINT) AS n_delayed
+          FROM left_over GROUP BY {c}""" for c in ENCODED_SOURCES)),
     "io12_map_reuse": _q(MAPS, "SELECT total_train_operated, true AS fitted_0, false AS fitted_1, true AS fitted_2 FROM globo"),
     "f04_leakage_audit": _q(MAPS, " UNION ALL ".join(
         f"SELECT '{t}' AS track, '{c}' AS \"column\", '{v}' AS verdict, count({c}) AS non_null FROM enc WHERE ARR_DEL15 IS NOT NULL" for t, c, v in _VERDICTS)),

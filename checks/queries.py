@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy, with_maps
 from tarmac import schema
 from tarmac.functions import clock, dates, delays
-from tarmac.operators import (cleaning, distributions, encoding, explain, features, inference, metrics,
+from tarmac.operators import (cleaning, distributions, encoding, explain, features, inference, lookups, metrics,
                               models, ordering, quality, ranks, summaries)
 from tarmac.plans import evaluation, overview
 from tarmac.plans.prepare import prepare
 from tarmac.session import materialise, shared_folder, tune
-from tarmac.sources import mappings, records, tables
+from tarmac.sources import file_maps, mappings, records, tables
 from tarmac.sources import models as model_store
 from tarmac.sources.driver_tables import raw_flights
 from tarmac.streaming.ingest import ingest
@@ -104,6 +104,21 @@ def _(spark, folder):
     return one.select("total_train_operated", *[F.lit(m).alias(f"fitted_{i}") for i, m in enumerate(made)])
 
 
+@query("io12_changed_files")
+def _(spark, folder):
+    """Maps after one file was added, one replaced and one removed, from statistics per file."""
+    where = f"{shared_folder(spark)}/tarmac-runs/{uuid.uuid4().hex}"
+    df = text_raw(spark, folder)
+    paths = {y: f"{where}/{y}" for y in (2021, 2022, 2023, 2024)}
+    for y in (2021, 2022, 2023):
+        _csv(df.filter(F.col("YEAR") == y), paths[y])
+    file_maps.refresh(spark, [paths[y] for y in (2021, 2022, 2023)], f"{where}/maps")
+    _csv(df.filter("YEAR = 2024"), paths[2024])
+    df.filter("YEAR = 2022 AND DAY_OF_MONTH <= 15").write.mode("overwrite").option("header", True).csv(paths[2022])
+    file_maps.refresh(spark, [paths[y] for y in (2022, 2023, 2024)], f"{where}/maps")
+    return file_maps.encodings(spark, f"{where}/maps").statistics
+
+
 @query("io06_scope_filter")
 def _(spark, folder):
     scoped = cleaning.in_scope(raw(spark, folder), month=1, years=[2021, 2025])
@@ -271,6 +286,16 @@ def _(spark, folder):
     return df.select(*KEY, *schema.FREQUENCY_FEATURES.values())
 
 
+@query("j01_salted_lookup")
+def _(spark, folder):
+    """The encodings by the way for maps that are too large to broadcast."""
+    op, maps = with_maps(spark, folder)
+    for source, column in schema.FREQUENCY_FEATURES.items():
+        op = lookups.left_lookup(op, maps.known_keys(source).select("_key", F.col("freq").alias(column)), source)
+    columns = list(schema.FREQUENCY_FEATURES.values())
+    return op.select(*KEY, *[F.coalesce(F.col(c), F.lit(0.0)).cast("float").alias(c) for c in columns])
+
+
 @query("j02_history_encode")
 def _(spark, folder):
     df = encoding.add_history(*with_maps(spark, folder))
