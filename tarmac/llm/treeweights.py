@@ -38,12 +38,12 @@ DEPTH = 5
 #: Ends a text and stands before its first byte; not part of any UTF-8 text.
 EDGE = b"\xff"
 #: Bytes of the texts of one chunk, and of one stored block of it, about.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 20
 #: Windows that a task keeps apart, beyond those it has added up, before it adds up equal ones.
-KEPT = 1 << 20
+KEPT = 1 << 18
 #: Bytes of texts whose words a task looks up at a time.
-LOOKED_UP = 8 << 20
+LOOKED_UP = 2 << 20
 #: Buckets of windows, as a number of bits; buckets of words, numbered on from there; and chunks that one task adds up or answers for a bucket.
 BUCKET_BITS = 10
 WORD_BUCKETS = 256
@@ -153,10 +153,13 @@ def words_of(bodies: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
 def _added(parts: list[tuple]) -> tuple:
     """Equal windows, or equal words, with the sum of their numbers."""
     if isinstance(parts[0][0], np.ndarray):
-        at, found = pd.factorize(np.concatenate([p[0] for p in parts]))
-    else:
-        coded = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
-        at, found = coded.indices.to_numpy(), coded.dictionary
+        codes = np.concatenate([p[0] for p in parts])
+        order = np.argsort(codes)
+        codes = codes[order]
+        first = np.flatnonzero(np.diff(codes, prepend=-1))
+        return codes[first], np.add.reduceat(np.concatenate([p[1] for p in parts])[order], first) if len(first) else codes
+    coded = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
+    at, found = coded.indices.to_numpy(), coded.dictionary
     return found, np.bincount(at, np.concatenate([p[1] for p in parts]), len(found)).astype(np.int64)
 
 
@@ -169,7 +172,7 @@ class _Sums(list):
 
     def take(self, part: tuple) -> None:
         self.append(part)
-        if sum(len(p[0]) for p in self) > 2 * self.known + KEPT:
+        if sum(len(p[0]) for p in self) > 1.5 * self.known + KEPT:
             self[:] = [_added(self)]
             self.known = len(self[0][0])
 
@@ -302,7 +305,7 @@ def _leaves(found: np.ndarray, n: np.ndarray, depth: int) -> Iterator[tuple[np.n
         yield parent, zeros, ones, node, bit
 
 
-_NODES = "ctx long, p int, zeros long, ones long, below double"
+_NODES = "ctx long, p int, zeros long, ones long, below double, own double"
 
 
 def parents(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -315,7 +318,7 @@ def parents(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
                 key, zeros, ones, own = (np.concatenate(x) for x in zip(*parts, strict=True))
                 node, at = np.unique(key, return_inverse=True)
                 sums = [np.bincount(at, x, len(node)) for x in (zeros, ones, own)]
-                yield pa.RecordBatch.from_arrays([pa.array(node >> 8), pa.array((node & 255).astype(np.int32)), *[pa.array(x.astype(np.int64)) for x in sums[:2]], pa.array(sums[2])], _names(_NODES))
+                yield pa.RecordBatch.from_arrays([pa.array(node >> 8), pa.array((node & 255).astype(np.int32)), *[pa.array(x.astype(np.int64)) for x in sums[:2]], pa.array(sums[2]), pa.array(estimate(*sums[:2]))], _names(_NODES))
 
     return counted.where(F.col("bucket") < 1 << BUCKET_BITS).select("ids", "counts").mapInArrow(run, _NODES)
 
@@ -330,11 +333,11 @@ def tree(lowest: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
     levels: list[DataFrame] = []
     nodes = lowest
     for d in range(depth - 2, -2, -1):
-        levels.insert(0, materialise(nodes.withColumn("own", estimated("zeros", "ones"))))
+        levels.insert(0, materialise(nodes))
         own, below = F.col("own"), F.col("below")
         weighted = F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - math.log(2)
         up = levels[0].select(F.col("ctx").bitwiseAND(F.lit((1 << 8 * max(0, d)) - 1)).alias("ctx"), "p", "zeros", "ones", weighted.alias("w"))
-        nodes = up.groupBy("ctx", "p").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("w").alias("below"))
+        nodes = up.groupBy("ctx", "p").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("w").alias("below")).withColumn("own", estimated("zeros", "ones"))
     return levels
 
 
@@ -439,6 +442,8 @@ def _chunk_scores(total: int, kinds: int, depth: int):
                 scored()
         if waiting:
             scored()
+        del index, values, names, logs
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out) if out else pa.table([pa.array([], k) for k in _SCORED_KINDS], names=_names(_SCORED))
 
     return run
