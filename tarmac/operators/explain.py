@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import xxhash
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import StandardScalerModel
@@ -18,10 +19,6 @@ from tarmac.operators.ordering import seeded_sample, top_k
 from tarmac.session import materialise
 
 
-#: Where the factors of shuffles start; their products with row numbers below 2**32 fit a long.
-_PRIME = 2_147_483_629
-
-
 def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
     """Stored rows with dense numbers ``_i`` from 0, and how many there are; only counts per partition meet."""
     base = materialise(rows.withColumn("_id", F.monotonically_increasing_id()))
@@ -50,9 +47,8 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequ
 
     def measured(number: int) -> DataFrame:
         feature = features[number]
-        shift = F.pmod(F.xxhash64(F.lit(seed), F.lit(number), F.col("repeat")), F.lit(size))
         sent = base.select(F.col(feature).alias("_value"), "_i", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
-        target = _scattered(F.col("_i"), size, _PRIME - 104_729 * number, shift)
+        target = _shuffled(F.col("_i"), size, seed, number, repeats, F.col("repeat"))
         arrived = sent.select(target.alias("_to"), "repeat", "_value").groupBy("_to").agg(
             *[F.max(F.when(F.col("repeat") == r, F.col("_value"))).alias(f"_v{r}") for r in range(repeats)])
         joined = base.join(arrived, F.col("_i") == F.col("_to"))
@@ -73,11 +69,22 @@ def permutation_importance(model: PipelineModel, rows: DataFrame, features: Sequ
     return top_k(table, "importance_mean", top, "feature")
 
 
-def _scattered(i: Column, n: int, factor: int, shift: Column) -> Column:
-    """A permutation of 0 .. n - 1: multiplied by a factor without a divisor in common with n, and shifted."""
-    while math.gcd(factor, n) > 1:
-        factor -= 1
-    return F.pmod(i * F.lit(factor % n if n > 1 else 1) + shift, F.lit(n))
+def _shuffled(i: Column, n: int, seed: int, number: int, repeats: int, repeat: Column) -> Column:
+    """A pseudorandom permutation of 0 .. n - 1 for each feature and repeat: multiplied by a factor without a divisor
+    in common with n, and shifted, both drawn for the repeat. No two repeats of a feature have one factor while n allows."""
+    factors: list[int] = []
+    for r in range(repeats):
+        drawn = xxhash.xxh64_intdigest(f"{seed}:{number}:{r}".encode())
+        factor = n // 4 + 1 + drawn % max(1, n // 2)
+        for _ in range(n):
+            if math.gcd(factor, n) == 1 and factor % n not in factors:
+                break
+            factor += 1
+        while math.gcd(factor, n) > 1:  # there are fewer factors than repeats
+            factor += 1
+        factors.append(factor % n if n > 1 else 0)
+    shift = F.pmod(F.xxhash64(F.lit(seed), F.lit(number), repeat), F.lit(n))
+    return F.pmod(i * F.element_at(F.lit(factors), repeat + 1) + shift, F.lit(n))
 
 
 def sampled_attributions(model: PipelineModel, rows: DataFrame, features: Sequence[str], max_rows: int,
