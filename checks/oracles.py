@@ -204,6 +204,7 @@ _STORED = {  # declared types of the cleaned record
     "date": "FL_DATE",
 }
 _KIND = {c: kind for kind, names in _STORED.items() for c in names.split()}
+_MAPPED = [c for c, kind in _KIND.items() if kind in ("smallint", "int", "string") and c != "YEAR"]
 
 
 def _profile(columns, distinct: bool) -> str:
@@ -383,6 +384,10 @@ ORACLES: dict[str, str] = {
         round(count(*) FILTER (WHERE DIVERTED = 1) / CAST(count(*) AS DOUBLE) * 100, 6) AS diverted_pct FROM clean GROUP BY ROLLUP (YEAR)"""),
     "a31_column_profile": _q(CLEAN, _profile(_KIND, False)),
     "a32_quality_table": _q(CLEAN, _profile([c for c in _KIND if not c.endswith(("_SIN", "_COS"))], True)),
+    "a32_distinct_by_year": _q(CLEAN, " UNION ALL ".join(
+        f"SELECT YEAR, '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM clean GROUP BY YEAR HAVING count({c}) > 0" for c in _MAPPED)),
+    "a32_distinct_merged": _q(CLEAN, " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM clean HAVING count({c}) > 0" for c in _MAPPED)),
     "a33_describe": _q(CLEAN, _describe(("ARR_DELAY", "DEP_DELAY", "TAXI_OUT", "AIR_TIME", "DISTANCE", "CRS_DEP_TIME_MIN", "CARRIER_DELAY", "DAY_OF_WEEK"))),
     "a34_values_by_year": _q(RAW, "SELECT YEAR, count(*) AS n FROM raw GROUP BY YEAR"),
     "a34_distinct_blocks": _q(RAW, "SELECT DISTINCT DEP_TIME_BLK FROM raw"),
@@ -414,6 +419,10 @@ ORACLES: dict[str, str] = {
     "h05_dunn": _q(OP + _RANKED.format(g="DEP_TIME_BLK"), """SELECT a.g AS level_a, b.g AS level_b,
         round((a.mr - b.mr) / sqrt((ties.n * (ties.n + 1) / 12 - ts / (12 * (ties.n - 1))) * (1 / CAST(a.n AS DOUBLE) + 1 / CAST(b.n AS DOUBLE))), 6) AS z
         FROM s a JOIN s b ON a.g < b.g, ties"""),
+    "h05_step_down": _q(OP, """, given AS (SELECT YEAR, ROUTE, floor(avg(ARR_DEL15) * 10) / 1000 AS p_value FROM op GROUP BY YEAR, ROUTE),
+        ranked AS (SELECT *, least(1.0, p_value * (count(p_value) OVER (PARTITION BY YEAR) - row_number() OVER (PARTITION BY YEAR ORDER BY p_value NULLS LAST) + 1)) AS raised FROM given)
+        SELECT YEAR, ROUTE, round(p_value, 6) AS p_value, CASE WHEN p_value IS NOT NULL THEN
+          round(max(raised) OVER (PARTITION BY YEAR ORDER BY p_value NULLS LAST RANGE UNBOUNDED PRECEDING), 6) END AS p_adjusted FROM ranked"""),
     "h06_cohens_d": _q(OP, """, t AS (SELECT count(ARR_DELAY) FILTER (WHERE IS_WEEKEND = 0) AS n_a, count(ARR_DELAY) FILTER (WHERE IS_WEEKEND = 1) AS n_b,
         avg(ARR_DELAY) FILTER (WHERE IS_WEEKEND = 0) AS mean_a, avg(ARR_DELAY) FILTER (WHERE IS_WEEKEND = 1) AS mean_b,
         var_samp(ARR_DELAY) FILTER (WHERE IS_WEEKEND = 0) AS va, var_samp(ARR_DELAY) FILTER (WHERE IS_WEEKEND = 1) AS vb FROM op)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy, with_maps
 from tarmac import schema
 from tarmac.functions import clock, dates, delays
-from tarmac.operators import (cleaning, distributions, encoding, explain, features, inference, lookups, metrics,
+from tarmac.operators import (bitmaps, cleaning, distributions, encoding, explain, features, inference, lookups, metrics,
                               models, ordering, quality, ranks, summaries)
 from tarmac.plans import evaluation, overview
 from tarmac.plans.prepare import prepare
@@ -393,6 +393,13 @@ def _(spark, folder):
     return quality.quality_table(df.select(*[c for c in df.columns if not c.endswith(("_SIN", "_COS"))]))
 
 
+def _yearly_bitmaps(spark, folder):
+    return bitmaps.distinct_bitmaps(clean(spark, folder), "YEAR")
+
+
+query("a32_distinct_by_year")(lambda spark, folder: bitmaps.distinct_counts(_yearly_bitmaps(spark, folder), ["YEAR"]))
+query("a32_distinct_merged")(lambda spark, folder: bitmaps.distinct_counts(_yearly_bitmaps(spark, folder)))
+
 _DESCRIBED = ("ARR_DELAY", "DEP_DELAY", "TAXI_OUT", "AIR_TIME", "DISTANCE", "CRS_DEP_TIME_MIN", "CARRIER_DELAY", "DAY_OF_WEEK")
 _simple("a33_describe", clean, quality.describe, _DESCRIBED)
 _simple("a34_values_by_year", clean, quality.values_by, "YEAR")
@@ -551,6 +558,13 @@ def _(spark, folder):
     return inference.dunn(flown(spark, folder)).select("level_a", "level_b", "z")
 
 
+@query("h05_step_down")
+def _(spark, folder):
+    """Adjustment of given p-values, many of them equal: the shares of late flights of routes, a family per year."""
+    given = flown(spark, folder).groupBy("YEAR", "ROUTE").agg((F.floor(F.avg("ARR_DEL15") * 10) / 1000).alias("p_value"))
+    return inference.step_down(given, by=["YEAR"])
+
+
 _simple("h06_cohens_d", flown, inference.cohens_d, "IS_WEEKEND", 0, 1)
 _simple("h07_factor_effects", flown, inference.factor_effects)
 _simple("h07_cause_shares", flown, inference.cause_shares)

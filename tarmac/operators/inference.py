@@ -112,6 +112,23 @@ def dunn(df: DataFrame, group: str = "DEP_TIME_BLK", value: str = "ARR_DELAY", c
     return pairs.select("level_a", "level_b", z.alias("z")).withColumn("p_value", two_sided_normal(F.col("z")))
 
 
+def step_down(pairs: DataFrame, p_value: str = "p_value", by: Sequence[str] = ()) -> DataFrame:
+    """``pairs`` with ``p_adjusted``: each p-value times the number of those not smaller, at least what any smaller one
+    was raised to, at most 1.
+
+    Equal p-values are adjusted alike. A null p-value is null adjusted and not counted. With ``by`` each group of tests
+    is a family of its own; without, the rows are one family, sorted in one task, which is for the pairs of a test's
+    groups and not for facts.
+    """
+    p, family = F.col(p_value), [F.col(c) for c in by]
+    order = Window.partitionBy(*family, p.isNull()).orderBy(p)
+    left = F.count(p).over(Window.partitionBy(*family, p.isNull())) - F.row_number().over(order) + 1
+    raised = pairs.withColumn("_raised", F.when(p.isNotNull(), F.least(p * left, F.lit(1.0))))
+    # what equal values share is the largest of theirs, which comes first among them
+    upto = Window.partitionBy(*family, p.isNull()).orderBy(p).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return raised.withColumn("p_adjusted", F.max("_raised").over(upto)).drop("_raised")
+
+
 def cohens_d(df: DataFrame, group: str, first, second, value: str = "ARR_DELAY") -> DataFrame:
     """Standardised mean difference between two groups, pooled deviation."""
     x = F.col(value).cast("double")
