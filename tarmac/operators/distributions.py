@@ -20,7 +20,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = schema.CORRELATIO
     A column agrees with itself unless it is constant or empty.
     """
     half = correlations(df, [c for c in columns if c in df.columns])
-    return half.unionByName(half.filter("x <> y").select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
+    ways = F.array_distinct(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
+    return half.select(F.explode(ways).alias("_way"), "r").select("_way.x", "_way.y", "r")
 
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str = schema.TARGET) -> DataFrame:
