@@ -544,3 +544,26 @@ ORACLES |= {
     "p04_every_clock": _q(_WIDE, " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(v) AS parsed, count(*) - count(v) AS na FROM (SELECT CASE WHEN {' OR '.join([f + ' = 1' for f in _LOST[c]] or ['false'])} THEN NULL ELSE {_minutes(c)} END AS v FROM raw)""" for c in _CLOCKS)),
 }
+
+
+def _picked(years: str, more: str) -> str:
+    """The page's filter on all flights; ``op`` are those flown among them."""
+    where = f"YEAR IN ({years}) AND OP_CARRIER IN ('C01', 'C05', 'C09') {more}"
+    return f"{CLEAN}, picked AS (SELECT * FROM clean WHERE {where}), op AS (SELECT * FROM picked WHERE CANCELLED = 0 AND DIVERTED = 0)"
+
+
+_BY_CARRIER = _picked("2022, 2025", "")
+_BY_END = _picked("2022, 2023, 2025", "AND ORIGIN IN ('A01', 'A03', 'A07', 'N99')")
+_BY_DEST = _picked("2022, 2023, 2025", "AND DEST IN ('A02', 'A04', 'A11') AND DEP_TIME_BLK IN ('0001-0559', '0800-0859', '1700-1759')")
+ORACLES |= {
+    "a29_cube_key_figures": _q(_BY_CARRIER, """SELECT count(*) AS total_flights, round((SELECT (1 - avg(ARR_DEL15)) * 100 FROM op), 6) AS otp_pct,
+        round((SELECT avg(ARR_DELAY) FROM op), 6) AS avg_delay, round(avg(CANCELLED) * 100, 6) AS cancel_pct FROM picked"""),
+    "a05_cube_years": _q(_BY_CARRIER, f"SELECT YEAR, round(avg(ARR_DEL15) * 100, 6) AS delay_pct, {_OTP} FROM op GROUP BY YEAR"),
+    "a11_cube_grid": _q(_BY_CARRIER, _grid("YEAR", "DEP_TIME_BLK", _BLOCKS)),
+    "a26_cube_histogram": _q(_BY_END, _hist(-60, 200, 100, "")),
+    "a18_cube_causes": _q(_BY_END, " UNION ALL ".join(f"SELECT '{c}' AS cause, coalesce(sum({c}), 0) AS minutes FROM op" for c in CAUSES)),
+    "a12_cube_carriers": _q(_BY_DEST, """SELECT OP_CARRIER, count(ARR_DEL15) AS flights, round(avg(ARR_DEL15), 6) AS delay_rate, round((1 - avg(ARR_DEL15)) * 100, 6) AS otp_pct
+        FROM op GROUP BY OP_CARRIER HAVING count(ARR_DEL15) >= 50"""),
+    "a27_sketched_quartiles": _q(OP, """SELECT YEAR, count(ARR_DELAY) AS n, true AS q25_within, true AS q50_within, true AS q75_within
+        FROM op GROUP BY YEAR HAVING count(ARR_DELAY) > 0"""),
+}

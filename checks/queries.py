@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy, with_maps
 from tarmac import schema
 from tarmac.functions import clock, dates, delays
-from tarmac.operators import (bitmaps, cleaning, distributions, encoding, explain, features, inference, lookups, metrics,
-                              models, ordering, quality, ranks, summaries)
+from tarmac.operators import (bitmaps, cleaning, cube, distributions, encoding, explain, features, inference, lookups, metrics,
+                              models, ordering, quality, ranks, sketches, summaries)
 from tarmac.plans import evaluation, overview
 from tarmac.plans.prepare import prepare
 from tarmac.session import materialise, shared_folder, tune
@@ -271,6 +271,25 @@ def _(spark, folder):
     return kept.groupBy("YEAR", "OP_CARRIER", "ORIGIN", "DEP_TIME_BLK").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _page(years, carriers, **also):
+    """The page's figures from the cube, by the name of the query that shows each."""
+    def shown(name, figure):
+        query(name)(lambda spark, folder: overview.overview_from(
+            cube.build(clean(spark, folder)), years, carriers, min_flights=50, **also)[figure])
+    return shown
+
+
+_by_carrier = _page([2022, 2025], ["C01", "C05", "C09"])
+_by_carrier("a29_cube_key_figures", "key_figures")
+_by_carrier("a05_cube_years", "otp_by_year")
+_by_carrier("a11_cube_grid", "otp_grid")
+_by_end = _page([2022, 2023, 2025], ["C01", "C05", "C09"], origins=["A01", "A03", "A07", "N99"])
+_by_end("a26_cube_histogram", "delay_histogram")
+_by_end("a18_cube_causes", "cause_minutes")
+_page([2022, 2023, 2025], ["C01", "C05", "C09"], dests=["A02", "A04", "A11"], blocks=["0001-0559", "0800-0859", "1700-1759"])(
+    "a12_cube_carriers", "carrier_otp")
+
+
 @query("p20_median_fill")
 def _(spark, folder):
     df = clean(spark, folder).select("YEAR", "ORIGIN", "DEP_DELAY", "TAXI_OUT", "CRS_DEP_TIME_MIN")
@@ -380,6 +399,18 @@ def _(spark, folder):
 
 
 _simple("a27_yearly_distribution", flown, distributions.yearly_distribution)
+
+
+@query("a27_sketched_quartiles")
+def _(spark, folder):
+    """Quartiles from merged sketches, each told only by whether its rank keeps the stated bound: the values themselves are drawn."""
+    chances, names = [0.25, 0.5, 0.75], ["q25", "q50", "q75"]
+    df = flown(spark, folder).select("YEAR", delays.clip(F.col("ARR_DELAY"), -60, 200).alias("v"))
+    found = sketches.quantiles(df, "v", chances, names, by=["YEAR"])
+    errors = sketches.rank_errors(df, "v", found, chances, names, by=["YEAR"])
+    return errors.select("YEAR", "n", *[(F.col(q) <= sketches.rank_bound()).alias(f"{q}_within") for q in names])
+
+
 _simple("a28_hexbin", flown, distributions.hexbin)
 _simple("a29_key_figures", clean, summaries.key_figures)
 _simple("a30_yearly_ingestion", clean, quality.yearly_ingestion)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac import schema
+from tarmac.operators.ranks import quantiles
 
 
 def track_table(encoded: DataFrame, track: str, target: str = schema.TARGET) -> DataFrame:
@@ -65,14 +66,13 @@ def missing_partitions(spark: SparkSession, observed: DataFrame,
     return expected.join(observed, ["dataset", "YEAR"], "left_anti")
 
 
-def fill_by_year(df: DataFrame, columns: Sequence[str], fallback: float = -1.0) -> DataFrame:
-    """Replace missing numbers by the exact median of their year.
+def fill_by_year(df: DataFrame, columns: Sequence[str], fallback: float = -1.0,
+                 quantiles: Callable[..., DataFrame] = quantiles) -> DataFrame:
+    """Replace missing numbers by the median of their year: exact, or from ``sketches.quantiles``.
 
-    Medians come from value counts of a long (year, column) form, so no task ever
+    Exact medians come from value counts of a long (year, column) form, so no task ever
     holds a whole year. A column with no value in a year gets ``fallback``.
     """
-    from tarmac.operators.ranks import quantiles
-
     numbers = df.select("YEAR", *[F.col(c).cast("double").alias(c) for c in columns])
     long = numbers.unpivot(["YEAR"], list(columns), "column", "value")
     medians = quantiles(long, "value", [0.5], ["median"], by=["YEAR", "column"])

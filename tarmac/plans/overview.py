@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators import cleaning, distributions, quality, summaries
+from tarmac.operators import cleaning, cube, distributions, quality, summaries
 
 
 def choices(full: DataFrame) -> dict[str, DataFrame]:
@@ -30,6 +30,20 @@ def overview(full: DataFrame, years: Sequence[int], carriers: Sequence[str], ori
     }
 
 
+def overview_from(stored: cube.Cube, years: Sequence[int], carriers: Sequence[str], origins: Sequence[str] = (),
+                  dests: Sequence[str] = (), blocks: Sequence[str] = (), min_flights: int = 500) -> dict[str, DataFrame]:
+    """The figures of ``overview`` from a cube, without the flights."""
+    chosen = (years, carriers, origins, dests, blocks)
+    return {
+        "key_figures": cube.key_figures(stored, *chosen),
+        "otp_by_year": cube.otp_by_year(stored, *chosen),
+        "delay_histogram": distributions.histogram(cube.delay_values(stored, *chosen), "ARR_DELAY", -60, 200, 100, weight="n"),
+        "carrier_otp": cube.carrier_otp(stored, min_flights, *chosen),
+        "cause_minutes": cube.cause_minutes(stored, *chosen),
+        "otp_grid": cube.otp_grid(stored, *chosen),
+    }
+
+
 def early_verdicts(flights: DataFrame) -> DataFrame:
     """Rule-of-thumb verdicts from the departure delay, one per track.
 
@@ -61,5 +75,3 @@ def planned_flights(requests: DataFrame, maps=None) -> DataFrame:
         "DEP_TIME_BLK": F.when(F.col("DEP_HOUR") < 6, "0001-0559").otherwise(F.concat(hour, F.lit("00-"), hour, F.lit("59"))),
     })
     return rows if maps is None else encoding.encode(rows, maps)
-
-
