@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 50_000_000
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -68,6 +71,22 @@ def local_session(cpus: int | str = "*", app: str = "tarmac") -> SparkSession:
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, for clusters where it is not installed on them.
+
+    Spark serves the archive from the driver for as long as the application runs; once per application.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not package.is_dir():  # an archive was shipped already
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tarmac-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+        for module in sorted(package.rglob("*.py")):
+            packed.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
