@@ -567,3 +567,7 @@ ORACLES |= {
     "a27_sketched_quartiles": _q(OP, """SELECT YEAR, count(ARR_DELAY) AS n, true AS q25_within, true AS q50_within, true AS q75_within
         FROM op GROUP BY YEAR HAVING count(ARR_DELAY) > 0"""),
 }
+ORACLES["s01_running_totals"] = _q(RAW, """SELECT YEAR, count(*) FILTER (WHERE CANCELLED = 1) AS r1_cancelled, count(*) FILTER (WHERE DIVERTED = 1) AS r2_diverted,
+    count(*) AS r3_clock_rows, count(*) AS r4_date_rows, count(*) FILTER (WHERE DAY_OF_WEEK <> isodow(make_date(YEAR, 1, DAY_OF_MONTH))) AS weekday_mismatches,
+    count(*) FILTER (WHERE DISTANCE < 0) AS negative_distance, count(*) FILTER (WHERE YEAR IS NULL) AS rows_without_year,
+    count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS operated FROM raw GROUP BY YEAR""")

@@ -21,6 +21,7 @@ from tarmac.session import materialise, shared_folder, tune
 from tarmac.sources import file_maps, mappings, records, tables
 from tarmac.sources import models as model_store
 from tarmac.sources.driver_tables import raw_flights
+from tarmac.streaming import totals
 from tarmac.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -845,3 +846,23 @@ def _(spark, folder):
     where, _ = _text_files(spark, folder, reorder=True)
     ingest(spark, f"{where}/raw/*", f"{where}/stream", f"{where}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{where}/stream").select(*KEY, "ROUTE", "ARR_DEL15", "TAXI_OUT", "CANCELLED", "DIVERTED")
+
+
+@query("s01_running_totals")
+def _(spark, folder):
+    """Totals after a wrong delivery of all files and a right one of half of them."""
+    where = f"{shared_folder(spark)}/tarmac-runs/{uuid.uuid4().hex}"
+    df = text_raw(spark, folder).withColumns({"_year": F.col("YEAR"), "_part": F.col("DAY_OF_MONTH").cast("int") % 4})
+    # Each year and part is in one task, so in one file.
+    right = df.repartition("_year", "_part")
+    wrong = right.withColumn("CANCELLED", F.when(F.col("_part") < 2, F.lit("1")).otherwise(F.col("CANCELLED")))
+
+    def deliver(rows, number):
+        rows.write.partitionBy("_year", "_part").option("header", True).csv(f"{where}/raw/delivery={number}")
+        totals.count_files(spark, f"{where}/raw/*/*/*", f"{where}/counted", f"{where}/counting",
+                           key=lambda path: F.regexp_extract(path, "_year=[^/]*/_part=[^/]*", 0)).awaitTermination()
+        totals.total(spark, f"{where}/counted", f"{where}/changes", f"{where}/totalling").awaitTermination()
+
+    deliver(wrong, 1)
+    deliver(right.filter("_part < 2"), 2)
+    return totals.totals(spark, f"{where}/changes")

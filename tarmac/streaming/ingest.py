@@ -20,9 +20,10 @@ _FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def arrivals(spark: SparkSession, folder: str, max_files: int) -> DataFrame:
-    """A stream of the paths of CSV files in ``folder``; their content is not read."""
-    reader = spark.readStream.schema(_FILES).format("binaryFile").option("pathGlobFilter", "*.csv")
-    return reader.option("maxFilesPerTrigger", max_files).load(folder).filter("length > 0").select("path")
+    """A stream of the paths, times and reader's names of CSV files in ``folder``, packed ones too; their content is not read."""
+    reader = spark.readStream.schema(_FILES).format("binaryFile").option("pathGlobFilter", "*.csv{,.gz,.bz2}")
+    return reader.option("maxFilesPerTrigger", max_files).load(folder).filter("length > 0").select(
+        "path", "modificationTime", F.input_file_name().alias("file"))
 
 
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, target: str = schema.TARGET,
