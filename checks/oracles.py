@@ -571,3 +571,5 @@ ORACLES["s01_running_totals"] = _q(RAW, """SELECT YEAR, count(*) FILTER (WHERE C
     count(*) AS r3_clock_rows, count(*) AS r4_date_rows, count(*) FILTER (WHERE DAY_OF_WEEK <> isodow(make_date(YEAR, 1, DAY_OF_MONTH))) AS weekday_mismatches,
     count(*) FILTER (WHERE DISTANCE < 0) AS negative_distance, count(*) FILTER (WHERE YEAR IS NULL) AS rows_without_year,
     count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0) AS operated FROM raw GROUP BY YEAR""")
+# the same rows as the full count, whatever the sketch names
+ORACLES |= {"j04_frequent_semi_join": ORACLES["j04_busiest_semi_join"], "a13_frequent_origins": ORACLES["a13_origin_otp"], "a14_frequent_routes": ORACLES["a14_route_otp"]}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from checks.frames import clean, delay_score, encoded, encodings, flown, history_score, raw, text_raw, tidy, with_maps
 from tarmac import schema
 from tarmac.functions import clock, dates, delays
-from tarmac.operators import (bitmaps, cleaning, cube, distributions, encoding, explain, features, inference, lookups, metrics,
+from tarmac.operators import (bitmaps, cleaning, cube, distributions, encoding, explain, features, frequent, inference, lookups, metrics,
                               models, ordering, quality, ranks, sketches, summaries)
 from tarmac.plans import evaluation, overview
 from tarmac.plans.prepare import prepare
@@ -337,6 +337,11 @@ def _(spark, folder):
     return ordering.keep_busiest(flown(spark, folder), "ORIGIN", 10).select(*KEY)
 
 
+@query("j04_frequent_semi_join")
+def _(spark, folder):
+    return frequent.keep_busiest(flown(spark, folder), "ORIGIN", 10).select(*KEY)
+
+
 @query("j05_dominant_group")
 def _(spark, folder):
     table = summaries.otp_by(flown(spark, folder), "YEAR", "OP_CARRIER")
@@ -375,6 +380,8 @@ _simple("a12_carrier_table", flown, summaries.carrier_otp_table)
 _simple("a13_origin_otp", flown, summaries.busiest_otp, "ORIGIN")
 _simple("a13_destination_otp", flown, summaries.busiest_otp, "DEST")
 _simple("a14_route_otp", flown, summaries.busiest_otp, "ROUTE")
+_simple("a13_frequent_origins", flown, summaries.frequent_otp, "ORIGIN")
+_simple("a14_frequent_routes", flown, summaries.frequent_otp, "ROUTE")
 _simple("a14_worst_routes", flown, summaries.worst_routes, min_flights=100)
 _simple("a15_cancellation_by_year", clean, summaries.cancellation_by_year)
 _simple("a16_cancellations_by_airport", clean, summaries.cancellations_by_airport)
