@@ -120,8 +120,11 @@ def _water(sizes, total):
 
 @pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
 def test_permutation(spark, n):
-    out = spark.range(n).select(mixing._permuted(F.col("id"), F.lit(n), F.lit(12345)).alias("p")).collect()
-    assert sorted(r.p for r in out) == list(range(n))
+    rows = spark.range(n)
+    one, other = ([r.p for r in rows.select("id", mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(key)).alias("p")).orderBy("id").collect()] for key in (12345, 6))
+    assert sorted(one) == sorted(other) == list(range(n))
+    if n >= 64:  # no shift and no multiple: differences of neighbours vary, and keys give different orders
+        assert len({(b - a) % n for a, b in itertools.pairwise(one)}) > n / 3 and sum(a == b for a, b in zip(one, other, strict=True)) < n / 8
 
 
 # 5 ------------------------------------------------------------------------------------------------
