@@ -29,6 +29,8 @@ CHUNK = 4096
 
 #: Rounds of a permutation, each of which exchanges about half of the indexes in pairs.
 ROUNDS = 10
+#: Draws that a task spreads, if the session has not more tasks than that asks for.
+TASK_DRAWS = 1 << 22
 #: Shards whose counts are summed into one before running totals are taken.
 GROUP = 1024
 
@@ -97,7 +99,8 @@ def _filled(sources: DataFrame, shard_slots: int) -> DataFrame:
     shares = sources.where("quota > 0").select("source_no", (F.col("upto") - F.col("quota")).alias("lower"), "upto")
     cells = shares.withColumn("cell", F.explode(F.expr(f"sequence(lower div {width}, (upto - 1) div {width})")))
     drawn = slots.withColumn("cell", F.expr(f"x div {width}")).join(cells, "cell").where("x >= lower and x < upto")
-    counts = materialise(_running(drawn.groupBy("shard", "source_no").agg(F.count("*").alias("c")), "source_no", "shard", "c", "offset"))
+    drawn = materialise(drawn.groupBy("shard", "source_no").agg(F.count("*").alias("c")))
+    counts = materialise(_running(drawn, "source_no", "shard", "c", "offset"))
 
     # what a source drew beyond its quota fills what others drew below theirs, in the order of the sources
     every = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -105,7 +108,9 @@ def _filled(sources: DataFrame, shard_slots: int) -> DataFrame:
     settled = settled.withColumns({"over": F.greatest(F.col("drawn") - F.col("quota"), F.lit(0)), "under": F.greatest(F.col("quota") - F.col("drawn"), F.lit(0))})
     settled = materialise(settled.select("source_no", "quota", "drawn", "under", (F.sum("over").over(every) - F.col("over")).alias("over_before"),
                                          (F.sum("under").over(every) - F.col("under")).alias("under_before")))
-    ranges = counts.join(settled, "source_no").withColumn("end", F.col("offset") + F.col("c"))
+    # a few rows of ranges become many draws: dealt by a stated number, as adaptive execution would join such small parts
+    dealt = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_DRAWS)
+    ranges = counts.repartition(dealt, "shard", "source_no").join(settled, "source_no").withColumn("end", F.col("offset") + F.col("c"))
     kept = ranges.where("offset < quota").select("shard", "source_no", F.explode(F.expr("sequence(offset, least(end, quota) - 1)")).alias("i"))
     spare = ranges.where("end > quota").select(
         "shard", F.explode(F.expr("sequence(over_before + greatest(offset, quota) - quota, over_before + end - quota - 1)")).alias("r"))
