@@ -61,33 +61,55 @@ def seeds(hashed: np.ndarray, n: int = SEED) -> np.ndarray:
     return h.view(np.int64)
 
 
+class _Rolling:
+    """``seeds`` of one text for any length, in time that does not grow with the length: differences of prefix sums."""
+
+    _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+    def __init__(self, hashed: np.ndarray):
+        n, one = len(hashed), np.ones(1, np.uint64)
+        self.powers = np.cumprod(np.concatenate([one, np.full(n, _BASE)]))
+        down = np.cumprod(np.concatenate([one, np.full(n, self._INVERSE)]))
+        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed.view(np.uint64) * down[:n], dtype=np.uint64)])
+
+    def seeds(self, n: int) -> np.ndarray:
+        if len(self.prefix) <= n:
+            return np.empty(0, np.int64)
+        h = (self.prefix[n:] - self.prefix[:-n]) * self.powers[n - 1:-1]
+        h ^= h >> np.uint64(29)
+        return h.view(np.int64)
+
+
 def tile(a: np.ndarray, b: np.ndarray, least: int = SEED) -> int:
-    """Tokens of ``a`` that greedy string tiling with ``b`` marks, in tiles of ``least`` tokens or more."""
+    """Tokens of ``a`` that greedy string tiling with ``b`` marks, in tiles of ``least`` tokens or more.
+
+    Of equally long matches the first in ``a`` is marked, with the first in ``b`` still unmarked. Empty sides mark
+    nothing. Repetitive sides cost no more than others: a place is left once it is marked, pairs are never listed.
+    """
     least = max(1, min(least, len(a)))
     free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
-    length, marked = len(a), 0
-    while length >= least:
-        found: list[tuple[int, int]] = []
-        if length <= min(len(a), len(b)):
-            # Karp-Rabin over stretches of unmarked tokens: equal hashes, then compared
-            ha, hb = seeds(a, length), seeds(b, length)
-            open_a = np.flatnonzero(_open(free_a, length))
-            open_b = np.flatnonzero(_open(free_b, length) & np.isin(hb, ha[open_a]))
-            at: dict[int, list[int]] = {}
-            for j in open_b.tolist():
-                at.setdefault(int(hb[j]), []).append(j)
-            found = [(i, j) for i in open_a.tolist() for j in at.get(int(ha[i]), ())]
-        hit = False
-        for i, j in found:
-            if free_a[i:i + length].all() and free_b[j:j + length].all() and (a[i:i + length] == b[j:j + length]).all():
-                free_a[i:i + length] = free_b[j:j + length] = False
-                marked += length
-                hit = True
-        if not hit or length > int(free_a.sum()):
-            longest = _longest(a, b, free_a, free_b, min(length - 1, int(free_a.sum())), least)
-            if not longest:
-                break
-            length = longest
+    of_a, of_b = _Rolling(a), _Rolling(b)
+    marked, most = 0, min(len(a), len(b))
+    while length := _longest(of_a, of_b, free_a, free_b, most, least):
+        # Karp-Rabin over stretches of unmarked tokens: equal hashes, then compared
+        ha, hb = of_a.seeds(length), of_b.seeds(length)
+        open_a, open_b = np.flatnonzero(_open(free_a, length)), np.flatnonzero(_open(free_b, length))
+        open_b = open_b[np.isin(hb[open_b], ha[open_a])]
+        places: dict[int, list[int]] = {}
+        for j in reversed(open_b.tolist()):
+            places.setdefault(int(hb[j]), []).append(j)
+        for i in open_a[np.isin(ha[open_a], hb[open_b])].tolist():
+            if not (free_a[i] and free_a[i + length - 1]):  # what was marked since is as long, so it covers an end
+                continue
+            at = places[int(ha[i])]  # the first place last
+            while at and not (free_b[at[-1]] and free_b[at[-1] + length - 1]):
+                at.pop()
+            for j in reversed(at):
+                if free_b[j] and free_b[j + length - 1] and (a[i:i + length] == b[j:j + length]).all():
+                    free_a[i:i + length] = free_b[j:j + length] = False
+                    marked += length
+                    break
+        most = length - 1
     return marked
 
 
@@ -97,13 +119,10 @@ def _open(free: np.ndarray, length: int) -> np.ndarray:
     return total[length:] - total[:-length] == length
 
 
-def _longest(a, b, free_a, free_b, most: int, least: int) -> int:
+def _longest(of_a: _Rolling, of_b: _Rolling, free_a, free_b, most: int, least: int) -> int:
     """The greatest length up to ``most`` at which unmarked stretches have an equal hash, by bisection; 0 if below ``least``."""
     def shared(n: int) -> bool:
-        if n > min(len(a), len(b)):
-            return False
-        ha, hb = seeds(a, n)[_open(free_a, n)], seeds(b, n)[_open(free_b, n)]
-        return bool(np.isin(ha, hb).any())
+        return bool(np.isin(of_a.seeds(n)[_open(free_a, n)], of_b.seeds(n)[_open(free_b, n)]).any())
 
     if most < least or not shared(least):
         return 0
