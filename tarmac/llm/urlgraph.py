@@ -48,13 +48,13 @@ def fitting(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return name, verdict
 
 
-#: Absolute and scheme-relative targets of links, cut where ``host_of`` cuts or the attribute ends, and the host a page credits at its foot.
-_TARGETS = (r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'>\s]+)""", r"(?:&copy;|©)\s*([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
+#: Absolute and scheme-relative targets of links, cut where ``host_of`` cuts or the attribute ends. A host named in plain text is no link.
+_TARGET = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'>\s]+)"""
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, links) between different hosts, from whole pages (host, html)."""
-    found = F.concat(*[F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(p), F.lit(1)) for p in _TARGETS])
+    found = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(_TARGET), F.lit(1))
     targets = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(F.array_distinct(F.transform(found, lambda h: F.translate(h, _UPPER, _LOWER)))).alias("dst"))
     return targets.where("src <> dst and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("links"))
 
