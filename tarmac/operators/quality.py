@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from tarmac import schema
 from tarmac.functions import delays
 from tarmac.operators.ranks import running_totals
+from tarmac.session import materialise
 
 
 def _long_form(one_row: DataFrame, names: Sequence[str], parts: Sequence[str]) -> DataFrame:
@@ -71,36 +73,39 @@ def column_profile(df: DataFrame) -> DataFrame:
 def distinct_per_column(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct known values of every column.
 
-    The exact form goes through (column, value) pairs combined map-side, rather
-    than one multi-distinct aggregate that would widen every row once per column.
+    The exact form groups one stored column at a time, rather than one multi-distinct
+    aggregate that would widen every row once per column.
     """
     if approximate:
         counted = df.agg(*[F.approx_count_distinct(c).alias(f"{c}__n_distinct") for c in df.columns])
         return _long_form(counted, df.columns, ["n_distinct"])
-    return _value_counts(df).groupBy("column").agg(F.count_if("known").alias("n_distinct"))
+    return _column_counts(df).select("column", "n_distinct")
 
 
-def _value_counts(df: DataFrame) -> DataFrame:
-    """(column, known, n): a row per column and value, missing being one; one scan, combined map-side.
+def _column_counts(df: DataFrame) -> DataFrame:
+    """(column, _rows, non_null, n_distinct) of every column; no row of a table without rows.
 
-    Values keep their kind: whole numbers, other numbers, and the rest as text.
+    The table is computed and stored once; then each column is read by itself and grouped, combined map-side. A row
+    per cell, with the column's name beside the value, costs many times that.
     """
     whole, other = (T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType)
     cells = []
-    for f in df.schema:
-        c, none = F.col(f"`{f.name}`"), F.lit(None)
-        number = isinstance(f.dataType, whole)
-        real = isinstance(f.dataType, other)
-        cells.append(F.struct(
-            F.lit(f.name).alias("column"), (c.cast("long") if number else none.cast("long")).alias("i"),
-            (c.cast("double") if real else none.cast("double")).alias("d"),
-            (none.cast("string") if number or real else c.cast("string")).alias("s"), c.isNotNull().alias("known")))
-    spread = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
-    return spread.groupBy("column", "i", "d", "s", "known").agg(F.count(F.lit(1)).alias("n")).select("column", "known", "n")
+    for i, f in enumerate(df.schema):
+        kind = "long" if isinstance(f.dataType, whole) else "double" if isinstance(f.dataType, other) else "string"
+        cells.append(F.col(f"`{f.name}`").cast(kind).alias(f"c{i}"))
+    stored = materialise(df.select(*cells))
+    parts = []
+    for i, f in enumerate(df.schema):
+        values = stored.groupBy(F.col(f"c{i}").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(values.agg(
+            F.lit(f.name).alias("column"), F.sum("n").alias("_rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("non_null"),
+            F.count("value").alias("n_distinct")).filter(F.col("_rows") > 0))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def quality_table(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Profile plus distinct counts, most incomplete columns first. The exact form takes both from one scan."""
+    """Profile plus distinct counts, most incomplete columns first. The exact form takes both from counts of values."""
     if approximate:
         distinct = distinct_per_column(df, approximate)
         # Both sides have one row per column of the schema.
@@ -108,9 +113,7 @@ def quality_table(df: DataFrame, approximate: bool = False) -> DataFrame:
         table = table.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
     else:
         kinds = F.create_map(*[x for f in df.schema for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
-        counted = _value_counts(df).groupBy("column").agg(
-            F.sum("n").alias("_rows"), F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("non_null"),
-            F.count_if("known").alias("n_distinct"))
+        counted = _column_counts(df)
         missing = F.col("_rows") - F.col("non_null")
         table = counted.select(
             "column", kinds[F.col("column")].alias("dtype"), "non_null", missing.alias("null_count"),
