@@ -37,3 +37,73 @@ def test_order_lines_are_not_shuffled_by_customer(spark):
             break
         below.append(x)
     assert below and not any("l_partkey" in x for x in below)
+
+
+def test_only_columns_with_gaps_are_counted_for_medians(spark, monkeypatch):
+    from tarmac.operators import models
+
+    train = spark.createDataFrame([(1.0, 5.0, None), (2.0, 6.0, None), (4.0, 9.0, None)], "a double, b double, c double")
+    test = spark.createDataFrame([(None, 7.0, 1.0)], "a double, b double, c double")
+    asked = []
+    medians = models.feature_medians
+    monkeypatch.setattr(models, "feature_medians", lambda rows, features: asked.extend(features) or medians(rows, features))
+    assert models.fill_values(train, ["a", "b", "c"], [train, test]) == {"a": 2.0, "b": 0.0, "c": 0.0}
+    assert asked == ["a", "c"]
+    assert models.fill_values(train, ["b"], [train, test]) == {"b": 0.0}
+
+
+def test_sample_of_many_rows_is_the_sample_by_order(spark):
+    from pyspark.sql import functions as F
+
+    from tarmac.operators import models
+
+    rows = spark.range(3000).select((F.col("id") % 900).alias("a"), (F.col("id") * 7 % 11).cast("double").alias("b"))
+    for df in (rows, rows.select((F.col("a") % 2).alias("a"), "b"), rows.limit(0)):
+        plain = df.orderBy(F.xxhash64("a", "b"), "a", "b").limit(20).collect()
+        assert sorted(models.fit_sample(df, 20).collect()) == sorted(plain)
+
+
+def test_heavy_keys_of_all_columns_come_from_one_scan_before_the_joins(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tarmac.operators import lookups
+
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 2)).alias("a"),
+                                    F.col("id").cast("string").alias("b"))
+    tables = {"a": spark.createDataFrame([("k1", 5)], "_key string, va int"), "b": spark.createDataFrame([("7", 6)], "_key string, vb int")}
+    assert lookups.heavy_keys_of(rows, ["a", "b"]) == {
+        c: [r.asDict() for r in lookups.heavy_keys(rows, c).collect()] for c in ("a", "b")}
+    monkeypatch.setattr(lookups, "heavy_keys", None)  # would read the joins made so far
+    found = lookups.left_lookups(rows, tables)
+    assert found.agg(F.count(F.lit(1)), F.count_if(F.expr("va = 5 AND a = 'k1'")), F.count("va"), F.sum("vb")).first()[:] == (
+        4000, rows.filter("a = 'k1'").count(), rows.filter("a = 'k1'").count(), 6)
+    empty = lookups.left_lookups(rows.limit(0), tables)
+    assert empty.columns == ["a", "b", "va", "vb"] and empty.count() == 0
+
+
+def test_distinct_counts_make_no_row_per_cell(spark):
+    from tarmac.operators import quality
+
+    rows = spark.createDataFrame([(1, "x", float("nan")), (1, None, float("nan")), (None, "x ", -0.0), (2, "x", 0.0)], "i int, s string, d double")
+    table = quality.quality_table(rows)
+    assert "Generate" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.column: (r.non_null, r.null_count, r.n_distinct) for r in table.collect()} == {"i": (3, 1, 2), "s": (3, 1, 2), "d": (4, 0, 2)}
+    assert quality.quality_table(rows.limit(0)).count() == 0
+
+
+def test_tracks_are_fitted_side_by_side(spark, monkeypatch):
+    from threading import Barrier
+
+    from checks import queries
+
+    both = Barrier(2, timeout=30)
+    monkeypatch.setattr(queries, "_split", lambda spark, folder: None)
+    monkeypatch.setattr(queries, "_scored", lambda spark, folder, track: both.wait() * 0 + ord(track))
+    assert queries._scored_tracks(spark, SF) == {"A": 65, "B": 66}
+
+
+def test_stored_flights_hold_only_wanted_columns(spark):
+    from checks import frames
+
+    op, _ = frames.with_maps(spark, SF, ["DISTANCE"])
+    assert "DISTANCE" in op.columns and not {"CARRIER_DELAY", "AIR_TIME", "FL_DATE"} & set(op.columns)
