@@ -107,3 +107,28 @@ def test_stored_flights_hold_only_wanted_columns(spark):
 
     op, _ = frames.with_maps(spark, SF, ["DISTANCE"])
     assert "DISTANCE" in op.columns and not {"CARRIER_DELAY", "AIR_TIME", "FL_DATE"} & set(op.columns)
+
+
+def test_permutation_importance_of_a_logistic_model_sends_no_features(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tarmac.operators import explain, models
+    from tarmac.session import materialise
+
+    h = F.pmod(F.xxhash64("id"), F.lit(97)).cast("double")
+    rows = materialise(spark.range(400).select(h.alias("a"), (F.col("id") % 5).cast("double").alias("b"), F.lit(3.0).alias("c"),
+                                               (h + F.col("id") % 30 > 60).cast("double").alias("label")))
+    names = ["a", "b", "c"]
+    model = models.train_one(rows, names, "logistic_regression")
+    scored = []
+    score = models.score
+    monkeypatch.setattr(models, "score", lambda m, df: scored.append(1) or score(m, df))
+    fast = {r.feature: r for r in explain.permutation_importance(model, rows, names, repeats=3).collect()}
+    assert len(scored) == 1  # the baseline
+    monkeypatch.setattr(explain, "_linear", lambda model, features: None)
+    slow = {r.feature: r for r in explain.permutation_importance(model, rows, names, repeats=3).collect()}
+    assert len(scored) == 5 and fast.keys() == slow.keys()
+    for c in names:
+        assert abs(fast[c].importance_mean - slow[c].importance_mean) < 1e-9
+        assert abs(fast[c].importance_std - slow[c].importance_std) < 1e-9
+    assert fast["a"].importance_mean > 0.05 and fast["c"].importance_mean == 0
