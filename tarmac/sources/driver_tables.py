@@ -100,8 +100,12 @@ _TABLES = {
 }
 
 
-def raw_flights(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
-    """Raw flight records over the tables in ``folder``, one per order line; ``wide`` adds the columns only the rules read."""
+def raw_flights(spark: SparkSession, folder: str, wide: bool = False, parts_of_year: int | None = None) -> DataFrame:
+    """Raw flight records over the tables in ``folder``, one per order line; ``wide`` adds the columns only the rules read.
+
+    With ``parts_of_year`` the rows of a year whose DAY_OF_MONTH has one remainder by it come from one task. The
+    order lines are shuffled for that, a quarter as wide as the records.
+    """
     def table(name: str) -> DataFrame:
         return spark.read.schema(_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -112,6 +116,8 @@ def raw_flights(spark: SparkSession, folder: str, wide: bool = False) -> DataFra
         .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
+    if parts_of_year is not None:
+        lines = lines.drop("o_orderkey", "s_suppkey").repartition(F.expr(_PARTS["yr"]), F.expr(f"({_PARTS['dom']}) % {parts_of_year}"))
     hashed = lines.withColumns({k: F.expr(v) for k, v in _HASHES.items()})
     parts = hashed.withColumns({k: F.expr(v) for k, v in _PARTS.items()})
     return parts.select(*[F.expr(sql).alias(name) for name, sql in (_COLUMNS | _MORE_COLUMNS if wide else _COLUMNS).items()])

@@ -132,3 +132,18 @@ def test_permutation_importance_of_a_logistic_model_sends_no_features(spark, mon
         assert abs(fast[c].importance_mean - slow[c].importance_mean) < 1e-9
         assert abs(fast[c].importance_std - slow[c].importance_std) < 1e-9
     assert fast["a"].importance_mean > 0.05 and fast["c"].importance_mean == 0
+
+
+def test_parts_of_a_year_come_from_one_task_without_a_shuffle_of_records(spark):
+    from pyspark.sql import functions as F
+
+    from tarmac.sources.driver_tables import raw_flights
+
+    dealt, plain = raw_flights(spark, SF, parts_of_year=4), raw_flights(spark, SF)
+    placed = dealt.select("YEAR", (F.col("DAY_OF_MONTH") % 4).alias("part"), F.spark_partition_id().alias("task"))
+    tasks = placed.groupBy("YEAR", "part").agg(F.count_distinct("task").alias("n"))
+    assert {r.n for r in tasks.collect()} == {1} and tasks.count() == 20
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, x in enumerate(plan) if "RepartitionByExpression" in x)
+    assert not any("CANCELLED" in x for x in plan[at:])
