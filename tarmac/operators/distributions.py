@@ -30,18 +30,18 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str = sc
     return pairs.select(F.col("x").alias("feature"), F.abs("r").alias("abs_corr")).orderBy(F.col("abs_corr").desc_nulls_last(), "feature")
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, bins: int, weight: str | None = None) -> DataFrame:
+def histogram(df: DataFrame, column: str, low: float, high: float, bins: int, weight: str | None = None,
+              lone_bin: int = 0) -> DataFrame:
     """Equal-width counts of clipped values over their observed range; empty bins absent.
 
     The last bin is closed. One aggregate finds the range; a second pruned scan counts bins, combined map-side.
-    With ``weight`` a row stands for that many.
+    With ``weight`` a row stands for that many. One distinct value leaves the bins without width: all of it is in ``lone_bin``.
     """
     clipped = df.select(delays.clip(F.col(column), low, high).alias("v"),
                         (F.lit(1) if weight is None else F.col(weight)).alias("w")).filter(F.col("v").isNotNull())
     ends = clipped.agg(F.struct(F.min("v").alias("low"), ((F.max("v") - F.min("v")) / F.lit(bins)).alias("width"))).scalar()
     lowest, width = ends["low"], ends["width"]
-    # One distinct value has no width: everything is in bin 0.
-    slot = F.when(width > 0, F.least(F.floor((F.col("v") - lowest) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    slot = F.when(width > 0, F.least(F.floor((F.col("v") - lowest) / width), F.lit(bins - 1))).otherwise(F.lit(lone_bin))
     placed = clipped.withColumn("bin", slot.cast("int")).groupBy("bin").agg(F.sum("w").alias("n"))
     return placed.select("bin", (lowest + F.col("bin") * width).alias("bin_low"),
                          (lowest + (F.col("bin") + 1) * width).alias("bin_high"), "n")

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tarmac import schema
 from tarmac.operators import cube
 from tarmac.plans.overview import overview, overview_from
 
@@ -88,3 +89,12 @@ def test_repeated_rows_count_again(full, stored):
     one, two = (cube.key_figures(c, [2022, 2023], ["C01"]).first() for c in (stored, twice))
     assert two["total_flights"] == 2 * one["total_flights"]
     assert math.isclose(one["avg_delay"], two["avg_delay"]) and math.isclose(one["cancel_pct"], two["cancel_pct"])
+
+
+def test_one_distinct_delay_is_in_the_last_bin(spark):
+    flights = spark.createDataFrame(
+        [(2022, "C01", "A01", "A02", "0600-0659", 0, 0, delay, 0) for delay in (-20.0, -20.0, None)],
+        "YEAR int, OP_CARRIER string, ORIGIN string, DEST string, DEP_TIME_BLK string, CANCELLED int, DIVERTED int, ARR_DELAY double, ARR_DEL15 int"
+    ).withColumns({c: F.lit(0.0) for c in schema.CAUSES})
+    for page in (overview(flights, [2022], ["C01"]), overview_from(cube.build(flights), [2022], ["C01"])):
+        assert page["delay_histogram"].collect() == [(99, -20.0, -20.0, 2)]
