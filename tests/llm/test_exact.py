@@ -323,6 +323,32 @@ def test_passages_cut_at_any_byte(spark, monkeypatch, crowd):
     assert rows == dict(enumerate(_without([t.encode() for t in made])))
 
 
+def test_no_task_holds_all_of_a_frequent_name_or_crowded_key(spark, monkeypatch):
+    """A third of the places under one name; half of the names under one key."""
+    n = F.col("id")
+    name = F.when(n % 3 == 0, 0).when(n % 3 == 1, 1 + n % 5000).otherwise(-n)
+    several = spark.range(0, 60_000, 1, 16).select(n.alias("did"), n.alias("th"), F.lit(7).cast("long").alias("key"), name.alias("name"), n.alias("lo"), n.alias("hi"))
+    names = common.materialise(several.groupBy("key", "name").agg(F.count("*").alias("all"), F.count("*").alias("rows")))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = suffixes.recurring(several, names)
+        assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < 2 * 40_000 / 16
+        want = {r.did for r in several.where("name >= 0").collect()}
+        assert sorted(r.did for r in got.collect()) == sorted(want) and len(want) == 40_000
+        assert suffixes.recurring(several.limit(0), names.limit(0)).count() == 0
+        monkeypatch.setattr(suffixes, "CONTEXTS", 100)
+        keyed = several.select(F.when(F.col("did") % 2 == 0, -7).otherwise(F.col("did")).alias("key"), "name").repartition(16)
+        got = suffixes.crowds(keyed)
+        assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) < 2 * 60_000 / 16
+        assert got.where("crowded").agg(F.count("*"), F.min("key"), F.max("key")).collect() == [(30_000, -7, -7)] and got.count() == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # 10 -----------------------------------------------------------------------------------------------
 
 def _tiling(a, b, least):
