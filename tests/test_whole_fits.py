@@ -24,3 +24,22 @@ def test_models_learn_from_every_training_row(spark, monkeypatch, track):
     assert learnt == dict.fromkeys(models.RECIPES, n)
     names, test, train = queries._rows(spark, "", track)
     assert names == list(schema.TRACKS[track]) and (test.count(), train.count()) == (100, n)
+
+
+def test_dealt_rows_are_whole_and_in_an_order_of_their_own(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(models, "DEALT_ROWS", 100)
+    rows = spark.range(1000).select((F.col("id") % 700).alias("a"), F.when(F.col("id") % 9 > 0, F.col("id") * 0.5 % 35).alias("b"))
+
+    def files(df):
+        stored = models.dealt(df).withColumn("f", F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1))
+        found = {}
+        for r in stored.collect():
+            found.setdefault(r.f, []).append((r.a, r.b))
+        return found
+
+    first = files(rows)
+    assert len(first) == 10 and first == files(rows.orderBy(F.rand(1)).repartition(7))
+    assert models.dealt(rows).exceptAll(rows).isEmpty() and rows.exceptAll(models.dealt(rows)).isEmpty()
+    assert models.dealt(rows.limit(0)).count() == 0
